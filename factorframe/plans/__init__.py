@@ -3,6 +3,7 @@ from .ingest import (
     build_replay,
     ingest_ratings,
     merge_staged,
+    split_paths,
     stage_arrivals,
     stage_arrivals_stream,
 )
