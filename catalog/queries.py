@@ -57,7 +57,7 @@ def ratings_view(spark, sf_dir):
 
 @query
 def blocked_text_roundtrip(spark, sf_dir):
-    path = views.write_clean_blocked_text(views.ratings(spark, sf_dir), spark)
+    path = views.write_clean_blocked_text(views.numbered_ratings(spark, sf_dir), spark)
     return sources.read_blocked_ratings(spark, path)
 
 
@@ -112,9 +112,9 @@ def upsert_merge(spark, sf_dir):
     """Original ratings, then later and overlapping ones with other values and nulls."""
     path = storage.scratch_path(spark, "ratings")
     rows = views.numbered_ratings(spark, sf_dir)
-    sources.upsert_ratings(views.original(rows).drop("line"), path)
+    sources.upsert_ratings(views.original(rows).drop("order", "line"), path)
     turned = F.when(F.col("line") != 7, 6 - F.col(RATING))
-    later = rows.where(F.col(DATE) >= "1998-01-01").withColumn(RATING, turned).drop("line")
+    later = rows.where(F.col(DATE) >= "1998-01-01").withColumn(RATING, turned).drop("order", "line")
     return sources.upsert_ratings(later, path)
 
 
@@ -123,9 +123,9 @@ def upsert_rewrite_all(spark, sf_dir):
     """As ``upsert_merge`` onto a dataset with duplicates that something else wrote."""
     path = storage.scratch_path(spark, "ratings")
     rows = views.numbered_ratings(spark, sf_dir)
-    sources.write_ratings(views.original(rows).drop("line"), path)
+    sources.write_ratings(views.original(rows).drop("order", "line"), path)
     turned = F.when(F.col("line") != 7, 6 - F.col(RATING))
-    later = rows.where(F.col(DATE) >= "1998-01-01").withColumn(RATING, turned).drop("line")
+    later = rows.where(F.col(DATE) >= "1998-01-01").withColumn(RATING, turned).drop("order", "line")
     return sources.upsert_ratings(later, path, rewrite="all")
 
 
@@ -176,7 +176,7 @@ def dedupe_keep_max(spark, sf_dir):
 @query
 def dedupe_latest_of_best(spark, sf_dir):
     """One rating per user and item: the highest, then the latest."""
-    rows = views.numbered_ratings(spark, sf_dir)
+    rows = views.numbered_ratings(spark, sf_dir).drop("order")
     return ops.keep_max(rows, keys=(ITEM, USER), target=RATING)
 
 
@@ -461,8 +461,15 @@ def als_predict(spark, sf_dir):
 @query
 def als_topk(spark, sf_dir):
     model, test = fitted(spark, sf_dir)
-    found = ops.flatten_recommendations(ops.recommend_for_users(model, test, 10))
-    return ops.rank_recommendations(found, 10)
+    return ops.recommend_for_users(model, test, 10)
+
+
+@query
+def als_topk_nested(spark, sf_dir):
+    """The model's own arrays of recommendations, flattened and ranked."""
+    model, test = fitted(spark, sf_dir)
+    nested = model.recommendForUserSubset(test.select(USER).distinct(), 10)
+    return ops.rank_recommendations(ops.flatten_recommendations(nested), 10)
 
 
 @query
@@ -505,7 +512,7 @@ def both_sides(train: DataFrame, test: DataFrame) -> DataFrame:
 @query
 def ingest_plan(spark, sf_dir):
     """Original and current ratings as train and test text, ingested twice."""
-    r = views.ratings(spark, sf_dir)
+    r = views.numbered_ratings(spark, sf_dir)
     base = storage.scratch_path(spark, "base")
     files = [views.write_clean_blocked_text(part, spark) for part in (views.original(r), views.current(r))]
     plans.ingest_ratings(spark, *files, base)
@@ -536,7 +543,7 @@ def stage_stream(spark, sf_dir):
 @query
 def drift_cycle(spark, sf_dir):
     """Ingest, train, then a cycle that finds drift, merges and trains again."""
-    r = views.ratings(spark, sf_dir)
+    r = views.numbered_ratings(spark, sf_dir)
     base, staged, models = (storage.scratch_path(spark, x) for x in ("base", "staged", "models"))
     train, test = (
         views.write_clean_blocked_text(p, spark) for p in ops.split_by_key(views.original(r))
@@ -603,9 +610,11 @@ def result_rows(results: DataFrame) -> DataFrame:
 
 @query
 def answer_jobs(spark, sf_dir):
+    """The jobs as one batch. Several branches read them, so they are decoded into a table."""
     f = views.factors(spark, sf_dir)
-    jobs = streaming.decode_jobs(views.job_messages(spark, sf_dir))
-    return result_rows(streaming.answer_jobs(jobs, f, f))
+    decoded = storage.scratch_path(spark, "jobs")
+    streaming.decode_jobs(views.job_messages(spark, sf_dir)).write.parquet(decoded)
+    return result_rows(streaming.answer_jobs(spark.read.parquet(decoded), f, f))
 
 
 @query

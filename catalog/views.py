@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from factorframe.schema import DATE, ITEM, RATING, USER
 from factorframe.sources import as_factors, storage
@@ -24,12 +24,13 @@ def numbered_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").cast("int").alias(USER),
         ((F.col("l_quantity").cast("int") - 1) % 5 + 1).alias(RATING),
         F.to_date("o_orderdate").alias(DATE),
+        F.col("l_orderkey").alias("order"),
         F.col("l_linenumber").cast("int").alias("line"),
     )
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return numbered_ratings(spark, sf_dir).drop("line")
+    return numbered_ratings(spark, sf_dir).drop("order", "line")
 
 
 def original(df: DataFrame) -> DataFrame:
@@ -116,20 +117,15 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_blocked_text(rows: DataFrame, spark: SparkSession, header: Column, line: Column) -> str:
     """Write rows as blocks: ``header`` above the ``line`` of each row; returns the path.
 
-    A large item becomes several blocks, each with its header, so no file has to
+    A large item becomes several blocks, each with its header, so no task has to
     hold a whole item.
     """
     path = storage.scratch_path(spark, "blocked")
-    part = F.pmod(F.xxhash64(USER, DATE), F.lit(16))
-    lines = rows.select(F.col(ITEM), part.alias("part"), F.lit(1).alias("kind"), line.alias("value"))
-    headers = rows.select(F.col(ITEM), part.alias("part"), header.alias("value")).distinct()
-    blocks = lines.unionByName(headers.withColumn("kind", F.lit(0)))
-    (
-        blocks.repartition(ITEM, "part")
-        .sortWithinPartitions(ITEM, "part", "kind")
-        .select("value")
-        .write.text(path)
-    )
+    block = Window.partitionBy(ITEM, F.pmod(F.xxhash64("order", "line"), F.lit(64))).orderBy("order", "line")
+    opens = F.row_number().over(block) == 1
+    rows.withColumn("opens", opens).select(
+        F.explode(F.when(F.col("opens"), F.array(header, line)).otherwise(F.array(line))).alias("value")
+    ).write.text(path)
     return path
 
 

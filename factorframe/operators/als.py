@@ -17,8 +17,9 @@ from ..schema import (
 )
 from ..sources.factors import as_factors
 from ..sources.storage import ensure_checkpoint_dir
-from .metrics import flatten_recommendations, one_row, ranking_metrics, regression_metrics
+from .metrics import one_row, ranking_metrics, regression_metrics
 from .quality import complete_rows
+from .topk import top_k
 
 
 def fit_factors(
@@ -71,9 +72,23 @@ def score_ratings(model: ALSModel, ratings: DataFrame) -> DataFrame:
     return model.transform(ratings)
 
 
-def recommend_for_users(model: ALSModel, users: DataFrame, k: int, user: str = USER) -> DataFrame:
-    """``k`` items per known user, as an array; rated items are not left out."""
-    return model.recommendForUserSubset(users.select(user).distinct(), k)
+def recommend_for_users(
+    model: ALSModel, users: DataFrame, k: int, *, user: str = USER, item: str = ITEM
+) -> DataFrame:
+    """``k`` items for each known user in ``users``, as rows of user, item, score and rank.
+
+    Rated items are not left out. Equal scores rank by item id, so the result is
+    the same on every run.
+    """
+    vectors, items = model_factors(model)
+    asked = users.select(F.col(user).cast("long").alias("id")).distinct()
+    queries = vectors.join(asked, "id", "left_semi").withColumnRenamed("id", "query_id")
+    return top_k(queries, items, k).select(
+        F.col("query_id").cast("int").alias(user),
+        F.col("item_id").cast("int").alias(item),
+        "score",
+        "rank",
+    )
 
 
 def evaluate(
@@ -89,7 +104,7 @@ def evaluate(
     """One row: regression and ranking metrics of a model on held-out ratings."""
     test = complete_rows(test, [user, item, rating])
     regression = regression_metrics(score_ratings(model, test), rating).select("rmse", "mae")
-    recommended = flatten_recommendations(recommend_for_users(model, test, k, user), user, item)
+    recommended = recommend_for_users(model, test, k, user=user, item=item).drop("rank")
     ranking = ranking_metrics(
         test, recommended, k=k, threshold=threshold, user=user, item=item, rating=rating
     ).select(

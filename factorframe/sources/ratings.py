@@ -206,11 +206,14 @@ def _swap(spark: SparkSession, source: str, target: str) -> None:
 def write_replay_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
     """Ratings as CSV in date order: date, user, item, rating, no nulls, with header.
 
-    The files sort by name in date order. Sorting by the whole row keeps a date
-    with very many ratings divisible between files. ``single_file`` gives one
-    file, which one task has to write.
+    The files sort by name in date order. Sorting by more than the date, down to
+    the place of the row in the input, lets a date or a row with very many copies
+    be divided between files. ``single_file`` gives one file, which one task has
+    to write.
     """
-    ordered = complete_rows(df.select(DATE, USER, ITEM, RATING)).orderBy(DATE, USER, ITEM, RATING)
+    columns = [DATE, USER, ITEM, RATING]
+    rows = complete_rows(df.select(*columns))
+    ordered = rows.orderBy(*columns, F.monotonically_increasing_id()).select(*columns)
     if single_file:
         ordered = ordered.coalesce(1)
     ordered.write.mode("overwrite").option("header", True).csv(path)

@@ -15,6 +15,8 @@ from .worker import (
     kafka_messages,
     kafka_results,
     kafka_sink,
+    publish,
+    submit_jobs,
     table_sink,
     write_result_batch,
 )

@@ -39,10 +39,22 @@ def test_data_drift_counts_domain_but_averages_all(make_ratings):
     assert row["current_median"] == 5.0
 
 
-def test_data_drift_is_one_aggregation(make_ratings):
+def test_data_drift_is_reduced_before_the_shuffle(make_ratings):
     df = make_ratings([(1, 1, 1, "2005-01-01")])
     plan = ops.data_drift(df, df)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "SinglePartition" in plan
+    assert "partial_count" in plan and "ObjectHash" not in plan and "SortAggregate" not in plan
+
+
+def test_data_drift_of_nothing(make_ratings):
+    nothing = make_ratings([(1, 1, 1, "2005-01-01")]).where("RATING > 1")
+    row = ops.data_drift(nothing, nothing).first()
+    assert row["original_counts"] == [0] * 5 and row["original_total"] == 0
+    assert row["original_mean"] is None and row["current_median"] is None
+
+
+def test_median_of_even_count_is_the_lower(make_ratings):
+    df = make_ratings([(1, i, r, "2005-01-01") for i, r in enumerate([1, 2, 4, 5, None])])
+    assert ops.data_drift(df, df).first()["current_median"] == 2.0
 
 
 def test_prediction_drift_skips_rows_without_prediction(spark):
