@@ -165,6 +165,21 @@ MERGED_SIDES = f"""
   FROM ratings GROUP BY "MOVIE_ID", "CUST_ID", "DATE"
 """
 
+#: Held-out ratings of users and items that the training part knows.
+KNOWN_TEST = f"""
+  {with_(RATINGS)},
+  sides AS (
+    SELECT "MOVIE_ID", "CUST_ID", "DATE", {SIDE} AS side FROM ratings
+    GROUP BY "MOVIE_ID", "CUST_ID", "DATE"
+  ),
+  train AS (SELECT * FROM sides WHERE side = 'train'),
+  known AS (
+    SELECT * FROM sides
+    WHERE side = 'test' AND "CUST_ID" IN (SELECT "CUST_ID" FROM train)
+      AND "MOVIE_ID" IN (SELECT "MOVIE_ID" FROM train)
+  )
+"""
+
 EVENTS = """
   e AS (
     SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS n, CAST(event_id AS VARCHAR) AS job
@@ -276,6 +291,17 @@ ORACLE: dict[str, str] = {
              'id' AS user_id_column, 'id' AS item_id_column, 'version_20050101_000000' AS source_version
       FROM embeddings
     """,
+    "factor_checks": """
+      SELECT count(*) AS n, count(*) - count(vec_id) AS null_ids,
+             CAST(min(len(embedding)) AS INTEGER) AS min_rank, CAST(max(len(embedding)) AS INTEGER) AS max_rank
+      FROM embeddings
+    """,
+    "registered_table": f"""
+      {with_(RATINGS)}
+      SELECT "MOVIE_ID", "CUST_ID", "DATE", max("RATING") AS "RATING",
+             CAST(year("DATE") AS INTEGER) AS year, CAST(month("DATE") AS INTEGER) AS month
+      FROM ratings GROUP BY "MOVIE_ID", "CUST_ID", "DATE"
+    """,
     "dedupe_keep_max": f"""
       {with_(RATINGS)},
       ranked AS (
@@ -424,6 +450,21 @@ ORACLE: dict[str, str] = {
              round(recall, 6) AS recall, round(ndcg, 6) AS ndcg
       FROM per_user
     """,
+    "nation_top_items": f"""
+      {with_(RATINGS)},
+      counts AS (
+        SELECT c_nationkey, "MOVIE_ID", count(*) AS score
+        FROM ratings JOIN customer ON "CUST_ID" = c_custkey GROUP BY 1, 2
+      ),
+      places AS (
+        SELECT *, CAST(row_number() OVER (
+          PARTITION BY c_nationkey ORDER BY score DESC, "MOVIE_ID") AS INTEGER) AS rank
+        FROM counts
+      )
+      SELECT * FROM places WHERE rank <= 10
+    """,
+    "als_coverage": f"{KNOWN_TEST} SELECT count(*) AS n_scored, 8 AS rank FROM known",
+    "als_scores_agree": f"{KNOWN_TEST} SELECT count(*) AS n_scored, true AS agree FROM known",
     "als_manifest": f"""
       {with_(RATINGS)}
       SELECT count(DISTINCT "CUST_ID") AS user_count, count(DISTINCT "MOVIE_ID") AS item_count,
@@ -437,6 +478,9 @@ ORACLE: dict[str, str] = {
              CASE WHEN "DATE" < DATE '1999-01-01' THEN 'train' ELSE 'test' END AS side
       FROM ratings GROUP BY "MOVIE_ID", "CUST_ID", "DATE"
     """,
+    "replay_plan": f"""
+      {with_(RATINGS)} SELECT "DATE", "CUST_ID", "MOVIE_ID", "RATING" FROM ratings
+    """,
     "merge_staged": MERGED_SIDES,
     "stage_stream": MERGED_SIDES,
     "validate_requests": f"""

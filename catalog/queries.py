@@ -165,6 +165,23 @@ def factor_manifest(spark, sf_dir):
     return sources.factor_manifest(users, f, source_version="version_20050101_000000")
 
 
+@query
+def factor_checks(spark, sf_dir):
+    """What the checks of a factor table look at."""
+    return sources.factor_stats(views.factors(spark, sf_dir))
+
+
+@query
+def registered_table(spark, sf_dir):
+    """Ratings upserted in two parts and read through the catalog."""
+    path = storage.scratch_path(spark, "ratings")
+    name = "ratings_" + path.rpartition("-")[2]
+    r = views.ratings(spark, sf_dir)
+    for part in (views.original(r), views.current(r)):
+        sources.upsert_ratings(part, path, table_name=name)
+    return spark.table(name)
+
+
 # --- cleaning and splitting --------------------------------------------------
 
 
@@ -444,6 +461,15 @@ def ranking_per_user(spark, sf_dir):
     )
 
 
+@query
+def nation_top_items(spark, sf_dir):
+    """The items each nation buys most often; one nation may hold most customers."""
+    customer = views.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    bought = views.ratings(spark, sf_dir).join(customer, F.col(USER) == F.col("c_custkey"))
+    counts = bought.groupBy("c_nationkey", ITEM).agg(F.count(F.lit(1)).alias("score"))
+    return ops.rank_recommendations(counts, 10, user="c_nationkey")
+
+
 # --- the factor model --------------------------------------------------------
 
 
@@ -458,6 +484,25 @@ def als_predict(spark, sf_dir):
     return ops.score_ratings(model, test)
 
 
+@query
+def als_coverage(spark, sf_dir):
+    """How many held-out ratings the model scores: those of known users and items."""
+    model, test = fitted(spark, sf_dir)
+    scored = ops.score_ratings(model, test).agg(F.count("prediction").alias("n_scored"))
+    return scored.select("n_scored", F.lit(model.rank).alias("rank"))
+
+
+@query
+def als_scores_agree(spark, sf_dir):
+    """Pairs scored from the factor tables against the model's own scores."""
+    model, test = fitted(spark, sf_dir)
+    users, items = ops.model_factors(model)
+    theirs = ops.score_ratings(model, test).withColumnRenamed("prediction", "theirs")
+    both = ops.predict_pairs(theirs, users, items, user=USER, item=ITEM)
+    gap = F.abs(F.col("theirs") - F.col("prediction"))
+    return both.agg(F.count(F.lit(1)).alias("n_scored"), (F.max(gap) < 1e-4).alias("agree"))
+
+
 @query
 def als_topk(spark, sf_dir):
     model, test = fitted(spark, sf_dir)
@@ -519,6 +564,15 @@ def ingest_plan(spark, sf_dir):
     return both_sides(*plans.ingest_ratings(spark, *files, base))
 
 
+@query
+def replay_plan(spark, sf_dir):
+    """Blocked text turned into replay files, read back as arrivals."""
+    path = storage.scratch_path(spark, "replay")
+    text = views.write_clean_blocked_text(views.numbered_ratings(spark, sf_dir), spark)
+    plans.build_replay(spark, text, path)
+    return sources.read_ratings_csv(spark, path)
+
+
 @query
 def merge_staged(spark, sf_dir):
     """Current ratings arrive as CSV, are staged and merged into the original ones."""
