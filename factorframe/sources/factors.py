@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import storage
 
 
+#: Largest factor table that is sent to every executor, and the room of a row beside its vector.
+BROADCAST_BYTES = 128 << 20
+_ROW_OVERHEAD_BYTES = 64
+
+
 @dataclass(frozen=True)
 class FactorShape:
     """Size of a factor table: what block sizes and broadcasts are decided on."""
@@ -16,6 +21,11 @@ class FactorShape:
     rows: int
     rank: int
 
+    @property
+    def broadcastable(self) -> bool:
+        """Whether the table is small enough to be sent to every executor."""
+        return self.rows * (4 * self.rank + _ROW_OVERHEAD_BYTES) <= BROADCAST_BYTES
+
 
 def factor_stats(factors: DataFrame, id_col: str = "id", features: str = "features") -> DataFrame:
     """One row: ``n``, ``null_ids``, ``min_rank`` and ``max_rank``, in one pass."""

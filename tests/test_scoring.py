@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from factorframe import operators as ops
-from factorframe.sources import factor_shape
+from factorframe.sources import factor_shape, factors as factor_tables
 
 RANK = 6
 
@@ -117,7 +117,13 @@ def test_recommend_known_users(spark, users, items):
     assert not [q for q, _ in got if q == 3]
 
 
-def test_predict_pairs(spark, users, items):
+@pytest.fixture(params=[factor_tables.BROADCAST_BYTES, 0], ids=["broadcast", "shuffle"])
+def broadcast(request, monkeypatch):
+    """Both ways of joining a factor table."""
+    monkeypatch.setattr(factor_tables, "BROADCAST_BYTES", request.param)
+
+
+def test_predict_pairs(spark, users, items, broadcast):
     pairs = spark.createDataFrame([(1, 2), (1, 999), (999, 2), (None, 2)], "user_id bigint, item_id bigint")
     got = {(r[0], r[1]): r[2] for r in ops.predict_pairs(pairs, users, items).collect()}
     _, u = matrix(users)
@@ -139,7 +145,7 @@ def test_predict_lists(spark, users, items):
 
 @pytest.mark.parametrize("batch", [10_000, 4])
 @pytest.mark.parametrize("scaled", [True, False])
-def test_fold_in_matches_direct_solution(spark, items, conf, batch, scaled):
+def test_fold_in_matches_direct_solution(spark, items, conf, batch, scaled, broadcast):
     conf("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     rng = np.random.default_rng(3)
     rows = [(int(q), int(i), float(r)) for q, i, r in zip(rng.integers(0, 12, 300), rng.integers(0, 120, 300), rng.integers(1, 6, 300))]
