@@ -87,15 +87,17 @@ def upsert_ratings(
     target: str = RATING,
     partition_cols: Sequence[str] = PARTITION_COLS,
     rewrite: str = "touched",
+    stage: bool = True,
     target_repartition: int | None = None,
     table_name: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Merge ratings into a dataset, keeping the highest rating of each key.
 
-    The new rows are cleaned, de-duplicated and staged next to the dataset first,
-    so their source is read once. A dataset that does not exist yet is the staged
-    one, renamed. Otherwise:
+    A dataset that does not exist yet is written at once. Otherwise the new rows
+    are cleaned, de-duplicated and staged next to the dataset first, so their
+    source is read once; ``stage=False`` leaves that out for rows that are a stored
+    dataset with the same partition columns. Then:
 
     ``rewrite="touched"``
         Only the partitions the new rows fall into are read, merged and replaced,
@@ -124,41 +126,38 @@ def upsert_ratings(
         rows = complete_rows(drop_columns(df, partition_cols), required)
         return keep_max(rows, keys, target)
 
-    staged_path = storage.sibling(path, "staged")
-    write_ratings(clean(new), staged_path, **layout)
-    staged = storage.read_parquet_if_exists(spark, staged_path)
     existing = storage.read_parquet_if_exists(spark, path)
-
+    staged_path = storage.sibling(path, "staged") if stage and existing is not None else None
     if existing is None:
-        storage.delete(spark, path)
-        storage.rename(spark, staged_path, path)
-        if staged is None:
-            return clean(new)
-    elif staged is not None or rewrite == "all":
+        write_ratings(clean(new), path, **layout)
+    else:
+        added = new
+        if staged_path:
+            write_ratings(clean(new), staged_path, **layout)
+            added = storage.read_parquet_if_exists(spark, staged_path)
         # Elsewhere a key could sit in another partition, or a column be missing.
         local_change = (
-            staged is not None
+            added is not None
             and DATE in keys
             and partition_cols
-            and sorted(existing.dtypes) == sorted(staged.dtypes)
+            and sorted(existing.dtypes) == sorted(added.dtypes)
         )
         if rewrite == "touched" and local_change:
-            touched = _only_partitions_of(existing, staged, partition_cols)
-            merged = clean(_union(touched, staged, partition_cols))
-            write_ratings(
-                merged,
-                path,
-                **{**layout, "options": {**(options or {}), "partitionOverwriteMode": "dynamic"}},
-            )
-        else:
+            touched = _only_partitions_of(existing, added, partition_cols)
+            dynamic = {**(options or {}), "partitionOverwriteMode": "dynamic"}
+            merged = clean(_union(touched, added, partition_cols))
+            write_ratings(merged, path, **{**layout, "options": dynamic})
+        elif added is not None or rewrite == "all":
+            both = existing if added is None else _union(existing, added, partition_cols)
             merged_path = storage.sibling(path, "merged")
-            both = existing if staged is None else _union(existing, staged, partition_cols)
             write_ratings(clean(both), merged_path, **layout)
             _swap(spark, merged_path, path)
-    storage.delete(spark, staged_path)
+    if staged_path:
+        storage.delete(spark, staged_path)
     if table_name:
         register_table(spark, table_name, path, repair=bool(partition_cols))
-    return spark.read.parquet(path)
+    merged = storage.read_parquet_if_exists(spark, path)
+    return clean(new) if merged is None else merged
 
 
 def _union(existing: DataFrame, new: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
@@ -176,7 +175,7 @@ def _only_partitions_of(
     The partition values come from the staged folders without reading a column;
     there are at most as many as calendar months.
     """
-    values = staged.select(*partition_cols).distinct().collect()
+    values = staged.select(*partition_cols).distinct().dropna().collect()
     inside = F.lit(False)
     if len(partition_cols) == 1:
         inside = F.col(partition_cols[0]).isin([row[0] for row in values])

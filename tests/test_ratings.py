@@ -84,6 +84,33 @@ def test_upsert_all_cleans_a_foreign_dataset(make_ratings, tmp_path):
     assert "month=2" not in {p.name for p in Path(path).rglob("month=*")}
 
 
+def test_upsert_order_does_not_matter(make_ratings, tmp_path):
+    parts = [
+        [(1, 1, 2, "2005-01-01"), (2, 1, 3, "2005-02-01"), (3, 1, None, "2005-02-01")],
+        [(1, 1, 5, "2005-01-01"), (2, 2, 1, "2006-02-01")],
+        [(1, 1, 4, "2005-01-01"), (2, 1, 1, "2005-02-01"), (4, 4, 4, "2005-02-09")],
+    ]
+    results = []
+    for n, order in enumerate([(0, 1, 2), (2, 1, 0), (1, 0, 2, 1)]):
+        path = str(tmp_path / str(n))
+        for i in order:
+            merged = sources.upsert_ratings(make_ratings(parts[i]), path)
+        results.append(rows(merged, *KEY))
+    everything = make_ratings(sum(parts, []))
+    assert results == [rows(ops.keep_max(everything.dropna()), *KEY)] * 3
+
+
+def test_upsert_of_a_stored_dataset_needs_no_staging(spark, make_ratings, tmp_path):
+    new, path = str(tmp_path / "new"), str(tmp_path / "r")
+    sources.upsert_ratings(make_ratings([(1, 1, 5, "2005-01-01"), (2, 2, 2, "2007-01-01")]), new)
+    sources.upsert_ratings(make_ratings([(1, 1, 3, "2005-01-01"), (1, 1, 3, "2006-01-01")]), path)
+    before = files_of(tmp_path / "r")
+    merged = sources.upsert_ratings(sources.read_ratings(spark, new), path, stage=False)
+    assert sorted(r["RATING"] for r in merged.collect()) == [2, 3, 5]
+    kept = {f for f, t in files_of(tmp_path / "r").items() if before.get(f) == t}
+    assert {str(Path(f).parent) for f in kept} == {"year=2006/month=1"}
+
+
 def test_upsert_of_nothing(make_ratings, tmp_path):
     path = str(tmp_path / "r")
     empty = make_ratings([(1, 1, None, "2005-01-01")])
