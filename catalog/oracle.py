@@ -465,6 +465,11 @@ ORACLE: dict[str, str] = {
     """,
     "als_coverage": f"{KNOWN_TEST} SELECT count(*) AS n_scored, 8 AS rank FROM known",
     "als_scores_agree": f"{KNOWN_TEST} SELECT count(*) AS n_scored, true AS agree FROM known",
+    "als_topk_agree": f"""
+      {KNOWN_TEST}
+      SELECT 10 * count(DISTINCT "CUST_ID") AS n, true AS agree FROM sides
+      WHERE side = 'test' AND "CUST_ID" IN (SELECT "CUST_ID" FROM train)
+    """,
     "als_manifest": f"""
       {with_(RATINGS)}
       SELECT count(DISTINCT "CUST_ID") AS user_count, count(DISTINCT "MOVIE_ID") AS item_count,
@@ -483,6 +488,7 @@ ORACLE: dict[str, str] = {
     """,
     "merge_staged": MERGED_SIDES,
     "stage_stream": MERGED_SIDES,
+    "drift_cycle_data": MERGED_SIDES,
     "validate_requests": f"""
       {with_(EVENTS)}
       SELECT job AS job_id,

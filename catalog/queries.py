@@ -517,6 +517,18 @@ def als_topk_nested(spark, sf_dir):
     return ops.rank_recommendations(ops.flatten_recommendations(nested), 10)
 
 
+@query
+def als_topk_agree(spark, sf_dir):
+    """The exact top-k against the model's own, place by place."""
+    model, test = fitted(spark, sf_dir)
+    ours = ops.recommend_for_users(model, test, 10).select(USER, "rank", F.col("score").alias("ours"))
+    nested = model.recommendForUserSubset(test.select(USER).distinct(), 10)
+    theirs = ops.rank_recommendations(ops.flatten_recommendations(nested), 10)
+    both = theirs.join(ours, [USER, "rank"], "full")
+    gap = F.coalesce(F.abs(F.col("score") - F.col("ours")), F.lit(1.0))
+    return both.agg(F.count(F.lit(1)).alias("n"), (F.max(gap) < 1e-4).alias("agree"))
+
+
 @query
 def als_evaluate(spark, sf_dir):
     model, test = fitted(spark, sf_dir)
@@ -594,8 +606,7 @@ def stage_stream(spark, sf_dir):
     return both_sides(*(sources.read_ratings(spark, p) for p in plans.split_paths(staged)))
 
 
-@query
-def drift_cycle(spark, sf_dir):
+def ran_cycle(spark: SparkSession, sf_dir: str) -> tuple[plans.RunReport, str]:
     """Ingest, train, then a cycle that finds drift, merges and trains again."""
     r = views.numbered_ratings(spark, sf_dir)
     base, staged, models = (storage.scratch_path(spark, x) for x in ("base", "staged", "models"))
@@ -612,12 +623,26 @@ def drift_cycle(spark, sf_dir):
         decision_options={"kl_threshold": 1e-6},
         als_options=ALS_OPTIONS,
     )
+    return report, base
+
+
+@query
+def drift_cycle(spark, sf_dir):
+    """What a cycle decided and how good the new model is."""
+    report, _ = ran_cycle(spark, sf_dir)
     columns = ["drift_score", "data_drift_score", "model_drift_score"]
     row = (report.retrained, *(report.decision[c] for c in columns), *report.evaluation)
     names = ["retrained", *columns, *report.evaluation.__fields__]
     return spark.createDataFrame([row], names)
 
 
+@query
+def drift_cycle_data(spark, sf_dir):
+    """The ratings a cycle leaves for the next one."""
+    _, base = ran_cycle(spark, sf_dir)
+    return both_sides(*(sources.read_ratings(spark, p) for p in plans.split_paths(base)))
+
+
 # --- jobs --------------------------------------------------------------------
 
 

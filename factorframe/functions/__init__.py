@@ -3,6 +3,7 @@ from .columns import (
     blank_to_null,
     date_parts,
     dot,
+    evaluated_once,
     histogram,
     int_field,
     key_fraction,
@@ -14,6 +15,7 @@ __all__ = [
     "blank_to_null",
     "date_parts",
     "dot",
+    "evaluated_once",
     "histogram",
     "int_field",
     "key_fraction",

@@ -26,6 +26,15 @@ def blank_to_null(text: Column) -> Column:
     return F.when(text != "", text)
 
 
+def evaluated_once(value: Column) -> Column:
+    """A column for ``select`` whose value is computed once per row.
+
+    Spark moves filters below projections and repeats the expression of a column
+    for every mention of it there. It does not move them below an explode.
+    """
+    return F.explode(F.array(value))
+
+
 def date_parts(date_col: str = DATE) -> dict[str, Column]:
     """The month partition of a rating, by partition column name."""
     return {YEAR: F.year(date_col), MONTH: F.month(date_col)}

@@ -57,6 +57,13 @@ def test_decode_and_validate(spark):
     assert json.loads(jobs["a"]["request"]["context"]["deep"]) == {"x": 1}
 
 
+def test_messages_are_parsed_once(spark):
+    jobs = streaming.decode_jobs(messages(spark, GOOD)).where("error is null and job_id > 'a'")
+    results = streaming.decode_results(messages(spark, GOOD)).where("status = 'DONE'")
+    for df in (jobs, results):
+        assert df._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+
+
 def answers(spark, factors, rows=GOOD + BAD):
     jobs = streaming.decode_jobs(messages(spark, rows))
     return streaming.answer_jobs(jobs, factors, factors)
