@@ -191,7 +191,17 @@ def test_latest_factors_follow_new_versions(spark, factors, tmp_path):
         for folder in ("userFactors", "itemFactors"):
             factors.limit(n).write.parquet(f"{base}/{version}/{folder}")
         assert provider()[2].rows == n
-    assert provider()[0] is provider()[0]
+    assert provider()[0] is provider()[0] and provider()[0].is_cached
+    users, _, _ = provider()
+    ids = spark.range(5).withColumnRenamed("id", "user_id").hint("shuffle_hash")
+    joined = ids.join(users.hint("shuffle_hash"), ids["user_id"] == users["id"])
+    assert joined.count() == 5
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    before_cache = plan.split("InMemoryTableScan")[0]
+    assert before_cache.count("Exchange hashpartitioning(user_id") == 1
+    assert "Exchange hashpartitioning(id" not in before_cache
+    provider.release()
+    assert not users.is_cached
 
 
 def test_kafka_options_need_the_connector(spark):
