@@ -103,7 +103,7 @@ RANKED = """
            row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS r
     FROM scored
   )
-  SELECT query_id, item_id, round(CAST(score AS DOUBLE), 6) AS score, CAST(r AS INTEGER) AS rank
+  SELECT query_id, item_id, round(CAST(score AS DOUBLE), 6) + 0.0 AS score, CAST(r AS INTEGER) AS rank
   FROM ranked WHERE r <= k
 """
 
@@ -225,7 +225,7 @@ ANSWERS = f"""
          0 AS rank, CAST(-1 AS BIGINT) AS item_id, 0.0::DOUBLE AS score FROM valid
   UNION ALL
   SELECT job, 'DONE', '', CASE WHEN event_type = 'view' THEN '' ELSE event_type END,
-         CAST(r AS INTEGER), item_id, round(CAST(score AS DOUBLE), 4)
+         CAST(r AS INTEGER), item_id, round(CAST(score AS DOUBLE), 4) + 0.0
   FROM ranked WHERE r <= k
   UNION ALL
   SELECT job, 'FAILED', 'Unknown user_id ' || id, '', 0, -1, 0.0
@@ -377,13 +377,13 @@ ORACLE: dict[str, str] = {
     "predict_pairs": f"""
       {with_(FACTORS)}
       SELECT l_orderkey, l_linenumber, l_suppkey AS user_id, l_partkey AS item_id,
-             round(coalesce(list_inner_product(u.features, i.features), 0.0), 6) AS prediction
+             round(coalesce(list_inner_product(u.features, i.features), 0.0), 6) + 0.0 AS prediction
       FROM lineitem LEFT JOIN factors u ON u.id = l_suppkey LEFT JOIN factors i ON i.id = l_partkey
     """,
     "predict_lists": f"""
       {with_(FACTORS)}
       SELECT l_orderkey AS query_id,
-             round(coalesce(list_inner_product(u.features, i.features), 0.0), 6) AS rating
+             round(coalesce(list_inner_product(u.features, i.features), 0.0), 6) + 0.0 AS rating
       FROM lineitem LEFT JOIN factors u ON u.id = l_suppkey LEFT JOIN factors i ON i.id = l_partkey
     """,
     "topk_inner_product": with_(FACTORS)
@@ -413,7 +413,7 @@ ORACLE: dict[str, str] = {
     """,
     "mean_item_vector": """
       SELECT CAST(pos - 1 AS INTEGER) AS dim,
-             round(CAST(CAST(avg(CAST(embedding[pos] AS DOUBLE)) AS FLOAT) AS DOUBLE), 6) AS value
+             round(CAST(CAST(avg(CAST(embedding[pos] AS DOUBLE)) AS FLOAT) AS DOUBLE), 6) + 0.0 AS value
       FROM embeddings, range(1, (SELECT max(len(embedding)) FROM embeddings) + 1) t(pos)
       GROUP BY 1
     """,
@@ -421,9 +421,9 @@ ORACLE: dict[str, str] = {
       {with_(FACTORS, FEEDBACK)},
       dims AS (SELECT pos, pos % 64 + 1 AS following FROM range(1, 65) t(pos))
       SELECT query_id, CAST(pos - 1 AS INTEGER) AS dim,
-             round(sum(rating * features[pos]), 6) AS rhs,
-             round(sum(features[pos] * features[pos]), 6) AS diagonal,
-             round(sum(features[pos] * features[following]), 6) AS next
+             round(sum(rating * features[pos]), 6) + 0.0 AS rhs,
+             round(sum(features[pos] * features[pos]), 6) + 0.0 AS diagonal,
+             round(sum(features[pos] * features[following]), 6) + 0.0 AS next
       FROM feedback JOIN factors ON item_id = id, dims
       GROUP BY query_id, pos
     """,

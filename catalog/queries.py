@@ -25,8 +25,13 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+def no_minus_zero(value: Column, digits: int = 6) -> Column:
+    """Rounded, and without a sign on zero."""
+    return F.round(value, digits) + F.lit(0.0)
+
+
 def rounded(*names: str, digits: int = 6) -> list[Column]:
-    return [F.round(F.col(n), digits).alias(n) for n in names]
+    return [no_minus_zero(F.col(n), digits).alias(n) for n in names]
 
 
 def count_columns(counts: str, prefix: str = "n") -> list[Column]:
@@ -303,7 +308,7 @@ def predict_pairs(spark, sf_dir):
         F.col("l_partkey").alias("item_id"),
     )
     scored = ops.predict_pairs(pairs, f, f)
-    return scored.withColumn("prediction", F.round("prediction", 6))
+    return scored.withColumn("prediction", no_minus_zero(F.col("prediction")))
 
 
 @query
@@ -327,7 +332,7 @@ def predict_lists(spark, sf_dir):
 
 
 def ranked_columns(df: DataFrame) -> DataFrame:
-    score = F.round(F.col("score").cast("double"), 6)
+    score = no_minus_zero(F.col("score").cast("double"))
     return df.select("query_id", "item_id", score.alias("score"), F.col("rank").cast("int").alias("rank"))
 
 
@@ -372,7 +377,7 @@ def exclude_scored(spark, sf_dir):
 def mean_item_vector(spark, sf_dir):
     mean = ops.mean_item_vector(views.factors(spark, sf_dir))
     values = mean.select(F.posexplode("features").alias("dim", "value"))
-    return values.select("dim", F.round(F.col("value").cast("double"), 6).alias("value"))
+    return values.select("dim", no_minus_zero(F.col("value").cast("double")).alias("value"))
 
 
 @query
@@ -389,8 +394,8 @@ def normal_equations(spark, sf_dir):
         "query_id",
         "dim",
         *rounded("rhs"),
-        F.round(entry(F.col("dim")), 6).alias("diagonal"),
-        F.round(entry((F.col("dim") + 1) % F.col("rank")), 6).alias("next"),
+        no_minus_zero(entry(F.col("dim"))).alias("diagonal"),
+        no_minus_zero(entry((F.col("dim") + 1) % F.col("rank"))).alias("next"),
     )
 
 
@@ -683,7 +688,7 @@ def result_rows(results: DataFrame) -> DataFrame:
         "source",
         (F.coalesce("at", F.lit(-1)) + 1).alias("rank"),
         F.coalesce("item.item_id", F.lit(-1)).cast("long").alias("item_id"),
-        F.round(F.coalesce("item.score", F.lit(0.0)), 4).alias("score"),
+        no_minus_zero(F.coalesce("item.score", F.lit(0.0)), 4).alias("score"),
     )
 
 
