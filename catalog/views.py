@@ -117,11 +117,11 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_blocked_text(rows: DataFrame, spark: SparkSession, header: Column, line: Column) -> str:
     """Write rows as blocks: ``header`` above the ``line`` of each row; returns the path.
 
-    A large item becomes several blocks, each with its header, so no task has to
-    hold a whole item.
+    An item has a block for every ten thousand orders, each with its header, so a
+    block stays small however many ratings an item has.
     """
     path = storage.scratch_path(spark, "blocked")
-    block = Window.partitionBy(ITEM, F.pmod(F.xxhash64("order", "line"), F.lit(64))).orderBy("order", "line")
+    block = Window.partitionBy(ITEM, F.floor(F.col("order") / 10_000)).orderBy("order", "line")
     opens = F.row_number().over(block) == 1
     rows.withColumn("opens", opens).select(
         F.explode(F.when(F.col("opens"), F.array(header, line)).otherwise(F.array(line))).alias("value")
