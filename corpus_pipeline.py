@@ -9,6 +9,10 @@ from factorframe.llm.common import saved, table
 
 STAGES = [
     ("language_id", stages.keep_known_languages),
+    ("line_dedup", stages.cut_repeated_lines),
+    ("minhash_near_dup", stages.keep_one_of_near_copies),
+    ("benchmark_decontamination", stages.drop_benchmark_leaks),
+    ("best_fit_packing", stages.pack_sequences),
 ]
 
 #: Several stages are beyond SQL; tests/llm compares them with brute force.

@@ -23,15 +23,15 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again: a lost executor costs none of it."""
     path = storage.scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.saved_path = path
+    return out
 
 
-def drop_saved(*frames: DataFrame | None) -> None:
-    """Delete the written tables behind frames of ``saved`` that nothing reads any more."""
+def drop_saved(*frames: DataFrame) -> None:
+    """Delete the tables behind frames that ``saved`` gave and nothing reads any more."""
     for df in frames:
-        if df is not None:
-            for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-                storage.delete(df.sparkSession, folder)
+        storage.delete(df.sparkSession, df.saved_path)
 
 
 def spread(df: DataFrame, per_partition: int = 1) -> int:

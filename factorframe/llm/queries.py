@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from factorframe.llm import line_dedup, secrets
+from factorframe.llm.chat import op6_chat_format
+from factorframe.llm.decontaminate import op8_benchmark_decontamination
 from factorframe.llm.language_id import op1_language_id
+from factorframe.llm.line_dedup import op9_line_dedup
+from factorframe.llm.near_dup import op10_minhash_near_dup
 from factorframe.llm.packing import op2_best_fit_packing
 from factorframe.llm.quality import op3_quality_rules
+from factorframe.llm.secrets import op7_secret_scan
+from factorframe.llm.suffix_dedup import op5_suffix_dedup
 from factorframe.llm.token_counts import op4_token_counts
 
 QUERIES = {
@@ -14,7 +21,14 @@ QUERIES = {
         op2_best_fit_packing,
         op3_quality_rules,
         op4_token_counts,
+        op5_suffix_dedup,
+        op6_chat_format,
+        op7_secret_scan,
+        op8_benchmark_decontamination,
+        op9_line_dedup,
+        op10_minhash_near_dup,
     )
 }
 
-ORACLE: dict[str, str] = {}
+#: The others count tokens, compress, learn or sketch, which SQL cannot; tests/llm compares them with brute force.
+ORACLE = {"op7_secret_scan": secrets.ORACLE_SQL, "op9_line_dedup": line_dedup.ORACLE_SQL}
