@@ -66,13 +66,13 @@ def numbered(prefix: str) -> list[str]:
     return [f"{prefix}{v}" for v in range(1, 6)]
 
 
-def summary(source: str, value: str, binned: str, prefix: str, infix: str) -> str:
+def summary(source: str, value: str, binned: str, prefix: str, infix: str, quantile: str = "quantile_disc") -> str:
     counts = ", ".join(
         f"count(*) FILTER (WHERE {binned} = {v}) AS {prefix}_n{v}" for v in range(1, 6)
     )
     return f"""
       SELECT {counts}, round(avg({value}), 6) AS {prefix}_{infix}mean,
-             CAST(quantile_disc({value}, 0.5) AS DOUBLE) AS {prefix}_{infix}median,
+             round(CAST({quantile}({value}, 0.5) AS DOUBLE), 6) AS {prefix}_{infix}median,
              count(*) AS {prefix}_total
       FROM {source}
     """
@@ -91,8 +91,8 @@ DATA_REPORT = f"""
 MODEL_REPORT = f"""
   model_report AS (
     SELECT *, {kl(numbered('original_n'), numbered('current_n'))} AS kl
-    FROM ({summary('(SELECT * FROM orig_predicted WHERE prediction IS NOT NULL)', 'prediction', BIN.format('prediction'), 'original', 'pred_')}),
-         ({summary('(SELECT * FROM curr_predicted WHERE prediction IS NOT NULL)', 'prediction', BIN.format('prediction'), 'current', 'pred_')})
+    FROM ({summary('(SELECT * FROM orig_predicted WHERE prediction IS NOT NULL)', 'prediction', BIN.format('prediction'), 'original', 'pred_', 'quantile_cont')}),
+         ({summary('(SELECT * FROM curr_predicted WHERE prediction IS NOT NULL)', 'prediction', BIN.format('prediction'), 'current', 'pred_', 'quantile_cont')})
   )
 """
 
@@ -180,6 +180,12 @@ KNOWN_TEST = f"""
   )
 """
 
+ALS_RANKED = f"""
+  {KNOWN_TEST}
+  SELECT "CUST_ID", 10::BIGINT AS n, true AS in_order FROM sides
+  WHERE side = 'test' AND "CUST_ID" IN (SELECT "CUST_ID" FROM train) GROUP BY "CUST_ID"
+"""
+
 EVENTS = """
   e AS (
     SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS n, CAST(event_id AS VARCHAR) AS job
@@ -292,7 +298,8 @@ ORACLE: dict[str, str] = {
       FROM embeddings
     """,
     "factor_checks": """
-      SELECT count(*) AS n, count(*) - count(vec_id) AS null_ids,
+      SELECT count(*) AS n, count(*) - count(vec_id) AS null_ids, count(DISTINCT vec_id) AS distinct_ids,
+             count(*) FILTER (WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) > 0) AS bad_vectors,
              CAST(min(len(embedding)) AS INTEGER) AS min_rank, CAST(max(len(embedding)) AS INTEGER) AS max_rank
       FROM embeddings
     """,
@@ -346,7 +353,7 @@ ORACLE: dict[str, str] = {
     """,
     "prediction_drift": f"""
       {with_(RATINGS, PREDICTED, MODEL_REPORT)}
-      SELECT * EXCLUDE (kl, original_pred_median, current_pred_median), round(kl, 9) AS kl_divergence
+      SELECT * EXCLUDE (kl), round(kl, 9) AS kl_divergence
       FROM model_report
     """,
     "retrain_decision": f"""
@@ -355,15 +362,21 @@ ORACLE: dict[str, str] = {
         SELECT d.kl AS dkl, m.kl AS mkl,
                abs((SELECT avg("RATING") FROM curr) - (SELECT avg("RATING") FROM orig)) AS dmean,
                abs((SELECT avg(prediction) FROM curr_predicted)
-                   - (SELECT avg(prediction) FROM orig_predicted)) AS mmean
+                   - (SELECT avg(prediction) FROM orig_predicted)) AS mmean,
+               abs(d.current_median - d.original_median) AS dmed,
+               abs((SELECT quantile_cont(prediction, 0.5) FROM curr_predicted)
+                   - (SELECT quantile_cont(prediction, 0.5) FROM orig_predicted)) AS mmed
         FROM data_report d, model_report m
       ),
       scores AS (
-        SELECT *, 0.6 * dkl / 1e-6 + 0.4 * dmean / 1e-4 AS ds, 0.6 * mkl / 1e-6 + 0.4 * mmean / 1e-4 AS ms,
+        SELECT *, 0.5 * dkl / 1e-6 + 0.4 * dmean / 1e-4 + 0.1 * dmed / 1e-4 AS ds,
+               0.5 * mkl / 1e-6 + 0.4 * mmean / 1e-4 + 0.1 * mmed / 1e-4 AS ms,
                [CASE WHEN dkl > 1e-6 THEN printf('Data KL divergence (%.4f) exceeds threshold (1e-06)', dkl) END,
                 CASE WHEN dmean > 1e-4 THEN printf('Data mean shift (%.4f) exceeds threshold (0.0001)', dmean) END,
+                CASE WHEN dmed > 1e-4 THEN printf('Data median shift (%.1f) exceeds threshold (0.0001)', dmed) END,
                 CASE WHEN mkl > 1e-6 THEN printf('Model KL divergence (%.4f) exceeds threshold (1e-06)', mkl) END,
-                CASE WHEN mmean > 1e-4 THEN printf('Model mean shift (%.4f) exceeds threshold (0.0001)', mmean) END
+                CASE WHEN mmean > 1e-4 THEN printf('Model mean shift (%.4f) exceeds threshold (0.0001)', mmean) END,
+                CASE WHEN mmed > 1e-4 THEN printf('Model median shift (%.4f) exceeds threshold (0.0001)', mmed) END
                ] AS all_reasons
         FROM measures
       ),
@@ -371,7 +384,7 @@ ORACLE: dict[str, str] = {
       SELECT greatest(ds, ms) > 1.0 AS should_retrain, round(greatest(ds, ms), 4) AS drift_score,
              round(ds, 4) AS data_drift_score, round(ms, 4) AS model_drift_score,
              CAST(len(kept) AS BIGINT) AS n_reasons, array_to_string(kept, '; ') AS reasons,
-             0.0001::DOUBLE AS mean_threshold, 0.6::DOUBLE AS kl_weight
+             0.0001::DOUBLE AS mean_threshold, 0.5::DOUBLE AS kl_weight
       FROM reasoned
     """,
     "predict_pairs": f"""
@@ -470,6 +483,49 @@ ORACLE: dict[str, str] = {
       SELECT 10 * count(DISTINCT "CUST_ID") AS n, true AS agree FROM sides
       WHERE side = 'test' AND "CUST_ID" IN (SELECT "CUST_ID" FROM train)
     """,
+    "als_predict": f"""
+      {KNOWN_TEST}
+      SELECT "MOVIE_ID", "CUST_ID", "DATE", max(r."RATING") AS "RATING", true AS plausible
+      FROM known JOIN ratings r USING ("MOVIE_ID", "CUST_ID", "DATE") GROUP BY 1, 2, 3
+    """,
+    "als_topk": ALS_RANKED,
+    "als_topk_nested": ALS_RANKED,
+    "als_evaluate": f"""
+      {KNOWN_TEST}
+      SELECT count(*) AS test_ratings_count, 8 AS model_rank, 10 AS k, 4.0::DOUBLE AS rating_threshold, true AS agree
+      FROM sides WHERE side = 'test'
+    """,
+    "als_prediction_drift": f"""
+      {KNOWN_TEST}
+      SELECT count(*) FILTER (WHERE "DATE" < DATE '1999-01-01') AS original_total,
+             count(*) FILTER (WHERE "DATE" >= DATE '1999-01-01') AS current_total,
+             true AS all_binned, true AS divergence_made
+      FROM known
+    """,
+    "fold_in_recommend": f"""
+      {with_(FACTORS, FEEDBACK)}
+      SELECT DISTINCT query_id, least(20, (SELECT count(*) FROM factors)) AS n,
+             CAST(least(20, (SELECT count(*) FROM factors)) AS INTEGER) AS last, true AS agree
+      FROM feedback
+    """,
+    "drift_cycle": f"""
+      {KNOWN_TEST}
+      SELECT true AS retrained, true AS over_one, count(*) AS test_ratings_count, 8 AS model_rank, true AS in_range
+      FROM sides WHERE side = 'test'
+    """,
+    "drift_two_cycles": f"""
+      {KNOWN_TEST},
+      steps AS (
+        SELECT *, CASE WHEN "DATE" < DATE '1999-01-01' THEN 0 WHEN year("DATE") = 1999 THEN 1 ELSE 2 END AS step FROM sides
+      )
+      SELECT s AS step,
+             count(*) FILTER (WHERE step < s AND side = 'train') AS original_total,
+             count(*) FILTER (WHERE step = s AND side = 'train') AS current_total,
+             count(*) FILTER (WHERE step <= s AND side = 'train') AS n_train,
+             count(*) FILTER (WHERE step <= s AND side = 'test') AS n_test,
+             true AS merged, true AS removed
+      FROM steps, (VALUES (1), (2)) AS v(s) GROUP BY s
+    """,
     "als_manifest": f"""
       {with_(RATINGS)}
       SELECT count(DISTINCT "CUST_ID") AS user_count, count(DISTINCT "MOVIE_ID") AS item_count,
@@ -505,7 +561,8 @@ ORACLE: dict[str, str] = {
     """,
     "submit_jobs": f"""
       {with_(EVENTS)}
-      SELECT user_id, n + 1 AS k, count(*) AS n, count(*) AS n_ids FROM e GROUP BY 1, 2
+      SELECT user_id, n + 1 AS k, count(*) AS n, count(*) AS n_ids, count(*) AS n_events, count(*) AS n_pending
+      FROM e GROUP BY 1, 2
     """,
     "answer_jobs": ANSWERS,
     "stream_jobs": ANSWERS,

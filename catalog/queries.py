@@ -262,9 +262,8 @@ def item_mean_predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
 
 @query
 def prediction_drift(spark, sf_dir):
-    report = ops.prediction_drift(*item_mean_predictions(spark, sf_dir))
-    # The sketched medians of real numbers have no counterpart in SQL.
-    return report.select(*report_columns("pred_", medians=False))
+    report = ops.prediction_drift(*item_mean_predictions(spark, sf_dir), exact=True)
+    return report.select(*report_columns("pred_"))
 
 
 @query
@@ -273,16 +272,16 @@ def retrain_decision(spark, sf_dir):
     r = views.ratings(spark, sf_dir)
     report = ops.drift_report(
         ops.data_drift(views.original(r), views.current(r)),
-        ops.prediction_drift(*item_mean_predictions(spark, sf_dir)),
+        ops.prediction_drift(*item_mean_predictions(spark, sf_dir), exact=True),
     )
     decision = ops.retrain_decision(
         report,
         kl_threshold=1e-6,
         mean_shift_threshold=1e-4,
-        median_shift_threshold=50.0,
-        kl_weight=0.6,
+        median_shift_threshold=1e-4,
+        kl_weight=0.5,
         mean_weight=0.4,
-        median_weight=0.0,
+        median_weight=0.1,
     )
     return decision.select(
         "should_retrain",
@@ -423,8 +422,14 @@ def fold_in_recommend(spark, sf_dir):
     """Items for each event user, from the events alone."""
     feedback = views.feedback(spark, sf_dir)
     requests = feedback.select("query_id").distinct()
-    found = ops.fold_in_and_recommend(requests, feedback, views.factors(spark, sf_dir))
-    return ranked_columns(found)
+    items = views.factors(spark, sf_dir)
+    found = ops.fold_in_and_recommend(requests, feedback, items)
+    # The same scores, summed pair by pair from the solved vectors.
+    x = ops.fold_in(feedback, items, requests).select("query_id", F.col("features").alias("x"))
+    summed = found.join(x, "query_id").join(items.withColumnRenamed("id", "item_id"), "item_id")
+    gap = F.abs(dot(F.col("x"), F.col("features")) - F.col("score"))
+    per_query = summed.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("last"), F.max(gap).alias("gap"))
+    return per_query.select("query_id", "n", "last", (F.col("gap") < 1e-3).alias("agree"))
 
 
 # --- evaluation --------------------------------------------------------------
@@ -485,8 +490,10 @@ def fitted(spark: SparkSession, sf_dir: str):
 
 @query
 def als_predict(spark, sf_dir):
+    """The held-out ratings that get a prediction, and whether it is a rating at all."""
     model, test = fitted(spark, sf_dir)
-    return ops.score_ratings(model, test)
+    scored = ops.score_ratings(model, test)
+    return scored.select(ITEM, USER, DATE, RATING, F.col("prediction").between(-10, 20).alias("plausible"))
 
 
 @query
@@ -508,18 +515,32 @@ def als_scores_agree(spark, sf_dir):
     return both.agg(F.count(F.lit(1)).alias("n_scored"), (F.max(gap) < 1e-4).alias("agree"))
 
 
-@query
-def als_topk(spark, sf_dir):
+def recommended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten items for each user with held-out ratings."""
     model, test = fitted(spark, sf_dir)
     return ops.recommend_for_users(model, test, 10)
 
 
+def rank_shape(ranked: DataFrame) -> DataFrame:
+    """Per user: how many items, and whether ranks have no gap, scores fall, and no item comes twice."""
+    before = F.lag("score").over(Window.partitionBy(USER).orderBy("rank"))
+    falling = ranked.withColumn("falls", F.coalesce(before >= F.col("score"), F.lit(True)))
+    n = F.count(F.lit(1))
+    whole = (F.max("rank") == n) & (F.count_distinct("rank") == n) & (F.count_distinct(ITEM) == n)
+    return falling.groupBy(USER).agg(n.alias("n"), (whole & F.bool_and("falls")).alias("in_order"))
+
+
+@query
+def als_topk(spark, sf_dir):
+    return rank_shape(recommended(spark, sf_dir))
+
+
 @query
 def als_topk_nested(spark, sf_dir):
     """The model's own arrays of recommendations, flattened and ranked."""
     model, test = fitted(spark, sf_dir)
     nested = model.recommendForUserSubset(test.select(USER).distinct(), 10)
-    return ops.rank_recommendations(ops.flatten_recommendations(nested), 10)
+    return rank_shape(ops.rank_recommendations(ops.flatten_recommendations(nested), 10))
 
 
 @query
@@ -536,17 +557,35 @@ def als_topk_agree(spark, sf_dir):
 
 @query
 def als_evaluate(spark, sf_dir):
+    """The evaluation row, with its metrics computed once more from the model's own lists."""
     model, test = fitted(spark, sf_dir)
-    return ops.evaluate(model, test)
+    row = ops.evaluate(model, test)
+    scored = model.transform(test)
+    error = F.col(RATING) - F.col("prediction")
+    errors = scored.agg(F.sqrt(F.avg(error * error)).alias("rmse_"), F.avg(F.abs(error)).alias("mae_"))
+    nested = model.recommendForUserSubset(test.select(USER).distinct(), 10)
+    ranking = ops.ranking_metrics(test, ops.flatten_recommendations(nested), k=10, threshold=4.0)
+    both = row.crossJoin(errors).crossJoin(ranking)  # one row each
+    pairs = (("rmse", "rmse_"), ("mae", "mae_"), ("precision_at_10", "precision"), ("recall_at_10", "recall"), ("ndcg_at_10", "ndcg"))
+    # Equal scores may take the place of one another in the two lists.
+    gaps = F.greatest(*[F.abs(F.col(a) - F.col(b)) for a, b in pairs])
+    return both.select("test_ratings_count", "model_rank", "k", "rating_threshold", (gaps < 1e-3).alias("agree"))
 
 
 @query
 def als_prediction_drift(spark, sf_dir):
+    """How many predictions each side has, and whether the histograms hold them all."""
     model, test = fitted(spark, sf_dir)
     report = ops.prediction_drift(
         ops.score_ratings(model, views.original(test)), ops.score_ratings(model, views.current(test))
     )
-    return report.select(*report_columns("pred_"))
+    counted = [F.aggregate(f"{s}_pred_counts", F.lit(0).cast("long"), lambda x, n: x + n) for s in ("original", "current")]
+    return report.select(
+        "original_total",
+        "current_total",
+        ((counted[0] == F.col("original_total")) & (counted[1] == F.col("current_total"))).alias("all_binned"),
+        (F.col("kl_divergence") >= 0).alias("divergence_made"),
+    )
 
 
 @query
@@ -633,12 +672,38 @@ def ran_cycle(spark: SparkSession, sf_dir: str) -> tuple[plans.RunReport, str]:
 
 @query
 def drift_cycle(spark, sf_dir):
-    """What a cycle decided and how good the new model is."""
+    """What a cycle decided, on how many ratings the new model was tested, and whether its scores are in range."""
     report, _ = ran_cycle(spark, sf_dir)
-    columns = ["drift_score", "data_drift_score", "model_drift_score"]
-    row = (report.retrained, *(report.decision[c] for c in columns), *report.evaluation)
-    names = ["retrained", *columns, *report.evaluation.__fields__]
-    return spark.createDataFrame([row], names)
+    e = report.evaluation
+    fine = 0 < e["rmse"] < 5 and all(0 <= e[f"{m}_at_10"] <= 1 for m in ("precision", "recall", "ndcg"))
+    row = (report.retrained, report.decision["drift_score"] > 1, e["test_ratings_count"], e["model_rank"], fine)
+    return spark.createDataFrame([row], "retrained boolean, over_one boolean, test_ratings_count long, model_rank int, in_range boolean")
+
+
+@query
+def drift_two_cycles(spark, sf_dir):
+    """Stage and merge twice; per step how many ratings drift detection saw and what is stored after it.
+
+    The second cycle must see its own arrivals only: what the first staged has gone with its merge.
+    """
+    r = views.ratings(spark, sf_dir)
+    base, staged = (storage.scratch_path(spark, x) for x in ("base", "staged"))
+    for part, path in zip(ops.split_by_key(views.original(r)), plans.split_paths(base)):
+        sources.upsert_ratings(part, path)
+    arrivals = views.current(r)
+    rows = []
+    for step, part in ((1, arrivals.where(F.year(DATE) == 1999)), (2, arrivals.where(F.year(DATE) > 1999))):
+        plans.stage_arrivals(spark, views.write_arrivals_csv(part, spark), staged)
+        seen = plans.detect_drift(spark, base, staged).select("data_drift.*").first()
+        merged = plans.merge_staged(spark, staged, base, remove_staged=True)
+        left = [sources.read_ratings_if_exists(spark, p) for p in plans.split_paths(staged)]
+        stored = [sources.read_ratings(spark, p).count() for p in plans.split_paths(base)]
+        rows.append(
+            (step, seen["original_total"], seen["current_total"], *stored, merged.train_merged and merged.test_merged, left == [None, None])
+        )
+    return spark.createDataFrame(
+        rows, "step int, original_total long, current_total long, n_train long, n_test long, merged boolean, removed boolean"
+    )
 
 
 @query
@@ -666,10 +731,18 @@ def validate_requests(spark, sf_dir):
 @query
 def submit_jobs(spark, sf_dir):
     """Requests through the job encoding and back; the ids are random, so they are counted."""
-    requests = views.events(spark, sf_dir).select("user_id", (F.col("n") + 1).alias("k"))
-    jobs = streaming.decode_jobs(streaming.encode_jobs(requests)).where(F.col("error").isNull())
-    return jobs.groupBy(F.col("request.user_id").alias("user_id"), F.col("request.k").alias("k")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("job_id").alias("n_ids")
+    requests = views.events(spark, sf_dir).select("user_id", (F.col("n") + 1).alias("k"), "event_id")
+    sent = storage.scratch_path(spark, "sent")
+    given = streaming.submit_jobs(requests, send=lambda messages: messages.write.parquet(sent))
+    jobs = streaming.decode_jobs(spark.read.parquet(sent)).where(F.col("error").isNull())
+    # The ids that the submitter got, and what was sent under them.
+    found = given.select("job_id", "status", "event_id", F.col("user_id").alias("asked")).join(jobs, "job_id")
+    found = found.where(F.col("asked") == F.col("request.user_id"))
+    return found.groupBy(F.col("request.user_id").alias("user_id"), F.col("request.k").alias("k")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("job_id").alias("n_ids"),
+        F.count_distinct("event_id").alias("n_events"),
+        F.count_if(F.col("status") == "PENDING").alias("n_pending"),
     )
 
 

@@ -21,6 +21,9 @@ from .metrics import one_row, ranking_metrics, regression_metrics
 from .quality import complete_rows
 from .topk import top_k
 
+#: Session setting with the default number of blocks.
+BLOCKS_SETTING = "spark.factorframe.als.blocks"
+
 
 def fit_factors(
     train: DataFrame,
@@ -35,14 +38,18 @@ def fit_factors(
     cold_start_strategy: str = "drop",
     nonnegative: bool = False,
     seed: int = 0,
-    num_blocks: int = 10,
+    num_blocks: int | None = None,
     checkpoint_interval: int = 10,
 ) -> ALSModel:
     """Fit a factor model on ratings; the same input and seed give the same model.
 
-    ``num_blocks`` is how many ways users and items are divided; raise it with
-    the data. Only the three columns are read.
+    ``num_blocks`` is how many ways users and items are divided, and so how many
+    tasks a half iteration has; raise it with the data. By default it is the
+    session's ``spark.factorframe.als.blocks``, or 10: never derived from data or
+    cluster, because the starting factors depend on it. Only the three columns are
+    read.
     """
+    num_blocks = num_blocks or int(train.sparkSession.conf.get(BLOCKS_SETTING, "10"))
     ensure_checkpoint_dir(train.sparkSession)
     als = ALS(
         userCol=user,

@@ -28,13 +28,19 @@ class FactorShape:
 
 
 def factor_stats(factors: DataFrame, id_col: str = "id", features: str = "features") -> DataFrame:
-    """One row: ``n``, ``null_ids``, ``min_rank`` and ``max_rank``, in one pass."""
+    """One row: ``n``, ``null_ids``, ``distinct_ids``, ``min_rank``, ``max_rank`` and ``bad_vectors``.
+
+    A bad vector has an element that is null, NaN or infinite. Only ids are shuffled.
+    """
+    broken = F.exists(features, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     size = F.when(F.col(features).isNull(), F.lit(0)).otherwise(F.size(features))
     return factors.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(id_col).isNull()).alias("null_ids"),
+        F.count_distinct(id_col).alias("distinct_ids"),
         F.min(size).alias("min_rank"),
         F.max(size).alias("max_rank"),
+        F.count_if(broken).alias("bad_vectors"),
     )
 
 
@@ -43,8 +49,9 @@ def factor_shape(
 ) -> FactorShape:
     """Check a factor table and return its size.
 
-    Raises ValueError unless both columns are there, every id is set, every
-    vector has the same length and there is at least one row.
+    Raises ValueError unless both columns are there, every id is set and unique,
+    every vector has the same length and finite elements only, and there is at
+    least one row.
     """
     for column in (id_col, features):
         if column not in factors.columns:
@@ -56,6 +63,10 @@ def factor_shape(
         raise ValueError("the factor table has no rows")
     if stats["null_ids"]:
         raise ValueError(f"{stats['null_ids']} factor rows have no id")
+    if stats["distinct_ids"] != stats["n"]:
+        raise ValueError(f"{stats['n'] - stats['distinct_ids']} factor rows repeat an id")
+    if stats["bad_vectors"]:
+        raise ValueError(f"{stats['bad_vectors']} factor vectors have an element that is no finite number")
     if stats["min_rank"] != stats["max_rank"] or stats["min_rank"] == 0:
         raise ValueError(
             f"factor vectors differ in length: {stats['min_rank']} to {stats['max_rank']}"

@@ -127,7 +127,7 @@ def test_lifecycle(spark, tmp_path):
 
     before = sources.read_ratings(spark, f"{base}/train").count()
     later = write_csv([(i, u + 50, r, d) for i, u, r, d in data(shift=1)] , tmp_path / "later")
-    cycle = plans.run_drift_cycle(spark, later, staged, base, models, remove_consumed=True, als_options=OPTIONS)
+    cycle = plans.run_drift_cycle(spark, later, staged, base, models, remove_source=True, als_options=OPTIONS)
     assert cycle.retrained and cycle.decision["reasons"]
     assert sources.read_ratings(spark, f"{base}/train").count() > before
     assert not (tmp_path / "later").exists() and not (tmp_path / "staged" / "train").exists()
