@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from factorframe import operators as ops
+from factorframe.operators.topk import default_slices
 from factorframe.sources import factor_shape, factors as factor_tables
 
 RANK = 6
@@ -194,3 +195,57 @@ def test_factor_checks(spark, items):
     for bad in (ragged, ragged.drop("id"), ragged.drop("features"), ragged.limit(0), ragged.selectExpr("cast(null as bigint) id", "array(1f) features")):
         with pytest.raises(ValueError):
             factor_shape(bad)
+
+
+@pytest.mark.parametrize("broken", [float("nan"), float("inf"), None])
+def test_a_vector_that_is_no_number_is_refused(spark, users, items, broken):
+    queries = users.withColumnRenamed("id", "query_id")
+    bad = items.union(spark.createDataFrame([(500, [broken] + [1.0] * (RANK - 1))], items.schema))
+    with pytest.raises(ValueError, match="no finite number"):
+        ops.top_k(queries, bad, 3)
+    # Where the check is skipped, and in a query vector, the task refuses.
+    for q, i in ((queries, bad), (bad.withColumnRenamed("id", "query_id"), items)):
+        with pytest.raises(Exception, match="no finite number"):
+            ops.top_k(q, i, 3, shape=factor_tables.FactorShape(91, RANK)).collect()
+
+
+def test_repeated_ids_are_refused(items):
+    with pytest.raises(ValueError, match="repeat an id"):
+        factor_shape(items.union(items.limit(2)))
+
+
+def test_a_repeated_query_has_one_answer_on_every_layout(spark, users, items):
+    queries = users.withColumnRenamed("id", "query_id")
+    other = queries.withColumn("features", F.transform("features", lambda x: -x))
+    answers = [
+        sorted(map(tuple, ops.top_k(df, items, 3, slices=s).collect()))
+        for df in (queries.union(other), other.union(queries).repartition(7))
+        for s in (1, 4)
+    ]
+    assert all(a == answers[0] for a in answers) and len(answers[0]) == 3 * 40
+
+
+def test_unknown_exclusions_never_reach_a_tile(spark, users, items):
+    queries = users.withColumnRenamed("id", "query_id")
+    exclude = spark.range(100_000).select(F.lit(3).alias("query_id"), (F.col("id") + 50).alias("item_id"))
+    plan = ops.top_k(queries, items, 5, exclude)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan.split("collect_set")[1]
+    got = found(ops.top_k(queries, items, 90, exclude))
+    assert {i for q, i in got if q == 3} == set(range(50))
+    assert len([1 for q, _ in got if q == 4]) == 90
+
+
+def test_tiles_grow_with_the_queries(spark):
+    shape = factor_tables.FactorShape(10_000_000, 64)
+    cores = spark.sparkContext.defaultParallelism
+    assert default_slices(spark, shape, queries=10**9) == 2_000
+    assert default_slices(spark, factor_tables.FactorShape(10, 4), queries=10) == 2 * cores
+
+
+def test_given_shapes_save_the_checks(spark, users, items):
+    pairs = spark.createDataFrame([(1, 2), (1, 999)], "user_id long, item_id long")
+    shapes = {"user_shape": factor_shape(users), "item_shape": factor_shape(items)}
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("given-shapes", "")
+    ops.predict_pairs(pairs, users, items, **shapes)
+    assert not jobs.getJobIdsForGroup("given-shapes")
