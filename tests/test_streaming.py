@@ -57,11 +57,50 @@ def test_decode_and_validate(spark):
     assert json.loads(jobs["a"]["request"]["context"]["deep"]) == {"x": 1}
 
 
+@pytest.mark.parametrize(
+    ("request_", "user_id", "k"),
+    [
+        ('{"user_id": "5"}', 5, 20),
+        ('{"user_id": 5.0, "k": "7"}', 5, 7),
+        ('{"user_id": null, "feedback": [{"item_id": "4", "rating": "3.5"}]}', None, 20),
+        ('{"user_id": 1, "exclude_item_ids": ["2", 3.0], "context": null}', 1, 20),
+    ],
+)
+def test_numbers_may_be_text(spark, request_, user_id, k):
+    (job,) = streaming.decode_jobs(messages(spark, [("a", f'{{"job_id": "a", "request": {request_}}}')])).collect()
+    assert job["error"] is None and (job["request"]["user_id"], job["request"]["k"]) == (user_id, k)
+    assert job["request"]["exclude_item_ids"] == ([2, 3] if user_id == 1 else [])
+    assert [tuple(x) for x in job["request"]["feedback"]] == ([(4, 3.5)] if user_id is None else [])
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"job_id": "a", "request": {"user_id": 5.5}}',
+        '{"job_id": "a", "request": {"user_id": 1, "k": null}}',
+        '{"job_id": "a", "request": {"user_id": 1, "feedback": null}}',
+        '{"job_id": "a", "request": {"user_id": 1, "exclude_item_ids": [1, null]}}',
+        '{"job_id": "a", "request": {"user_id": 1, "exclude_item_ids": 4}}',
+        '{"job_id": "a", "request": {"user_id": 1}} trailing',
+        '{"job_id": "a", "request": {"user_id": 1}}, {}',
+        '{"job_id": "a", "request": [1]}',
+        '{"job_id": "a", "requested_at": "soon", "request": {"user_id": 1}}',
+        "[]",
+        "7",
+        "",
+        None,
+    ],
+)
+def test_what_is_no_job(spark, text):
+    (job,) = streaming.decode_jobs(messages(spark, [("a", text)])).collect()
+    assert job["error"].startswith("decode-error: ") and job["request"] is None and job["job_id"] == "a"
+
+
 def test_messages_are_parsed_once(spark):
     jobs = streaming.decode_jobs(messages(spark, GOOD)).where("error is null and job_id > 'a'")
     results = streaming.decode_results(messages(spark, GOOD)).where("status = 'DONE'")
-    for df in (jobs, results):
-        assert df._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+    for df, parser in ((jobs, "parseJson"), (results, "from_json")):
+        assert df._jdf.queryExecution().executedPlan().toString().count(parser) == 1
 
 
 def answers(spark, factors, rows=GOOD + BAD):
