@@ -9,7 +9,8 @@
 4. The survivors are verified on the full sets. Links are confirmed only there.
 5. A bucket whose members are all in one component needs nothing more. In the others, members of
    different components may be linked past the centre: these buckets are cut into blocks, blocks meet in
-   pairs, and pairs across components take steps 3 and 4. Those within a component are never formed.
+   pairs in a task, and pairs across components take steps 3 and 4 there. Only links leave the task, and
+   only those that join components.
 6. Components of all links; their least id names them.
 
 Bands are as many as keep the chance to miss a pair at the threshold below ``miss``.
@@ -146,25 +147,30 @@ def _promising(x: Column, y: Column, rule: Rule) -> Column:
     return compare(x, y)
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
 def _shared(x: Column, y: Column) -> Column:
     """Size of the intersection of two sets of shingles."""
 
     @F.pandas_udf("long")
     def count(x: pd.Series, y: pd.Series) -> pd.Series:
-        def one(a: bytes, b: bytes) -> int:
-            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            both = np.sort(np.concatenate([a, b]), kind="stable")
-            return int((both[1:] == both[:-1]).sum())
-
-        return pd.Series([one(a, b) for a, b in zip(x, y, strict=True)], dtype="int64")
+        pairs = zip(x, y, strict=True)
+        return pd.Series([_common(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in pairs], dtype="int64")
 
     return count(x, y)
 
 
+def _sets_of(wanted: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """doc_id and full set of the wanted ids, written."""
+    return saved(_shingle_sets(id_texts(docs).join(wanted.distinct(), "doc_id", "left_semi"), rule), "shingles")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = saved(_shingle_sets(id_texts(docs).join(wanted, "doc_id", "left_semi"), rule), "shingles")
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, rule)
     size = lambda c: (F.length(c) / 8).cast("long")
     both = (
         pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -179,46 +185,48 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _across(mixed: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of different components in the buckets of ``mixed`` (key, members, doc_id, n, component, signature).
+    """Links between components in the buckets of ``mixed`` (key, band, members, doc_id, n, component, signature, shingles).
 
     A bucket of more than a block's rows is cut by a hash of the id; each pair of blocks is a group, of
-    bounded size whatever the bucket's.
+    bounded size whatever the bucket's. A pair is looked at in the first band that it shares only, and not at
+    all once other links have joined its components, so a group gives fewer links than it has rows.
     """
     blocks = F.ceil(F.col("members") / _BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc_id", F.lit(7)), blocks).cast("int")
+    columns = ["band", "own", "doc_id", "n", "component", "signature", "shingles"]
     groups = (
         mixed.withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "key",
-            F.least("own", "other").alias("i"),
-            F.greatest("own", "other").alias("j"),
-            "own",
-            "doc_id",
-            "n",
-            "component",
-            "signature",
-        )
-        .repartition(spread(mixed), "key", "i", "j")
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *columns)
+        .repartition(spread(mixed, 2), "key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
     )
 
-    def meet(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
         sig, ids = _matrix(rows["signature"], rule), rows["doc_id"].to_numpy()
-        comp, n, own = (rows[c].to_numpy() for c in ("component", "n", "own"))
-        same_block = rows["i"].iat[0] == rows["j"].iat[0]
-        found = [np.zeros((0, 2), np.int64)]
+        comp, n, own = (rows[c].to_numpy().copy() for c in ("component", "n", "own"))
+        sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
+        one_block = rows["i"].iat[0] == rows["j"].iat[0]
+        earlier = sig[:, : int(rows["band"].iat[0]) * rule.band_rows].reshape(len(rows), -1, rule.band_rows)
+        a, b = [], []
         for k in range(len(rows) - 1):
             rest = slice(k + 1, None)
             fit = (comp[rest] != comp[k]) & (100 * np.minimum(n[rest], n[k]) >= rule.percent * np.maximum(n[rest], n[k]))
-            if not same_block:
+            if not one_block:
                 fit &= own[rest] != own[k]
             at = k + 1 + np.flatnonzero(fit)
+            at = at[~(earlier[at] == earlier[k]).all(2).any(1)]
             if len(at):
-                good = at[_surviving(np.broadcast_to(sig[k], (len(at), rule.hashes)), sig[at], rule)]
-                found.append(np.column_stack([np.full(len(good), ids[k]), ids[good]]))
-        out = np.concatenate(found)
-        return out.min(1) if len(out) else out[:, 0], out.max(1) if len(out) else out[:, 1]
+                at = at[_surviving(np.broadcast_to(sig[k], (len(at), rule.hashes)), sig[at], rule)]
+            for v in at:
+                if comp[v] == comp[k]:
+                    continue
+                shared = _common(sets[k], sets[v])
+                if 100 * shared >= rule.percent * (len(sets[k]) + len(sets[v]) - shared):
+                    a.append(min(ids[k], ids[v]))
+                    b.append(max(ids[k], ids[v]))
+                    comp[comp == comp[v]] = comp[k]
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -231,11 +239,9 @@ def _across(mixed: DataFrame, rule: Rule) -> DataFrame:
             tail = (rows[["key", "i", "j"]] == last).all(axis=1).to_numpy()
             held = rows[tail]
             for _, group in rows[~tail].groupby(["key", "i", "j"], sort=False):
-                a, b = meet(group)
-                yield pd.DataFrame({"a": a, "b": b})
+                yield meet(group)
         if held is not None:
-            a, b = meet(held)
-            yield pd.DataFrame({"a": a, "b": b})
+            yield meet(held)
 
     return groups.mapInPandas(run, "a long, b long").distinct()
 
@@ -254,7 +260,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     keys = F.array(
         *[F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)) for i in range(rule.bands)]
     )
-    banded = reps.select("doc_id", "n", F.explode(keys).alias("key"))
+    banded = reps.select("doc_id", "n", F.posexplode(keys).alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min("doc_id").alias("centre"), F.count("*").alias("members")).where("members > 1")
     members = saved(banded.join(buckets, "key"), "buckets")
 
@@ -267,17 +273,21 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     joined = components(links)
 
     # Buckets of three and more that are not yet one component.
-    labelled = members.where("members > 2").join(joined.select(F.col("u").alias("doc_id"), F.col("v").alias("component")), "doc_id", "left")
-    labelled = labelled.withColumn("component", F.coalesce("component", "doc_id")).select("key", "doc_id", "n", "members", "component")
+    component = joined.select(F.col("u").alias("doc_id"), F.col("v").alias("component"))
+    labelled = members.where("members > 2").join(component, "doc_id", "left")
+    labelled = labelled.withColumn("component", F.coalesce("component", "doc_id")).drop("centre")
     split = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    mixed = labelled.join(split.select("key"), "key", "left_semi").join(reps.select("doc_id", "signature"), "doc_id")
-    extra = saved(_across(mixed, rule).join(tried, ["a", "b"], "left_anti"), "pairs")
-    if not extra.isEmpty():
-        more = _confirmed(extra, docs, rule)
-        first = joined
-        joined = components(first.select(F.col("u").alias("a"), F.col("v").alias("b")).union(more))
-        drop_saved(first, more)
-    drop_saved(members, tried, extra, links, reps)
+    mixed = saved(labelled.join(split.select("key"), "key", "left_semi"), "mixed")
+    if not mixed.isEmpty():
+        sets = _sets_of(mixed.select("doc_id"), docs, rule)
+        full = mixed.join(reps.select("doc_id", "signature").join(sets.dropDuplicates(["doc_id"]), "doc_id"), "doc_id")
+        more = saved(_across(full, rule), "links")
+        if not more.isEmpty():
+            first = joined
+            joined = components(first.select(F.col("u").alias("a"), F.col("v").alias("b")).union(more))
+            drop_saved(first)
+        drop_saved(sets, more)
+    drop_saved(members, mixed, tried, links, reps)
 
     named = (
         base.select("doc_id", "n", "digest")
