@@ -100,10 +100,10 @@ def upsert_ratings(
     dataset with the same partition columns. Then:
 
     ``rewrite="touched"``
-        Only the partitions the new rows fall into are read, merged and replaced,
-        by dynamic partition overwrite: Spark swaps the folders once every task
-        has ended, so reading the folders that are replaced is safe, also when
-        executors are lost on the way. Exact as long as the key fixes the
+        Only the partitions the new rows fall into are read, merged and replaced:
+        the merged folders are written aside, and moved in when all are complete.
+        A lost executor or driver loses nothing; the next call ends what broke off
+        (see :func:`finish_swap`). Exact as long as the key fixes the
         partition; if the date is no key column, or the columns change, all
         partitions are rewritten.
     ``rewrite="all"``
@@ -126,34 +126,40 @@ def upsert_ratings(
         rows = complete_rows(drop_columns(df, partition_cols), required)
         return keep_max(rows, keys, target)
 
+    finish_swap(spark, path)
     existing = storage.read_parquet_if_exists(spark, path)
     staged_path = storage.sibling(path, "staged") if stage and existing is not None else None
-    if existing is None:
-        write_ratings(clean(new), path, **layout)
-    else:
-        added = new
+    try:
+        if existing is None:
+            write_ratings(clean(new), path, **layout)
+        else:
+            added = new
+            if staged_path:
+                write_ratings(clean(new), staged_path, **layout)
+                added = storage.read_parquet_if_exists(spark, staged_path)
+            # Elsewhere a key could sit in another partition, or a column be missing.
+            local_change = (
+                added is not None
+                and DATE in keys
+                and partition_cols
+                and sorted(existing.dtypes) == sorted(added.dtypes)
+            )
+            depth = 0
+            if rewrite == "touched" and local_change:
+                rows = _union(_only_partitions_of(existing, added, partition_cols), added, partition_cols)
+                depth = len(partition_cols)
+            elif added is not None:
+                rows = _union(existing, added, partition_cols)
+            else:
+                rows = existing if rewrite == "all" else None
+            if rows is not None:
+                write_ratings(clean(rows), f"{_swap_path(path, depth)}/new", **layout)
+                finish_swap(spark, path)
+    finally:
         if staged_path:
-            write_ratings(clean(new), staged_path, **layout)
-            added = storage.read_parquet_if_exists(spark, staged_path)
-        # Elsewhere a key could sit in another partition, or a column be missing.
-        local_change = (
-            added is not None
-            and DATE in keys
-            and partition_cols
-            and sorted(existing.dtypes) == sorted(added.dtypes)
-        )
-        if rewrite == "touched" and local_change:
-            touched = _only_partitions_of(existing, added, partition_cols)
-            dynamic = {**(options or {}), "partitionOverwriteMode": "dynamic"}
-            merged = clean(_union(touched, added, partition_cols))
-            write_ratings(merged, path, **{**layout, "options": dynamic})
-        elif added is not None or rewrite == "all":
-            both = existing if added is None else _union(existing, added, partition_cols)
-            merged_path = storage.sibling(path, "merged")
-            write_ratings(clean(both), merged_path, **layout)
-            _swap(spark, merged_path, path)
-    if staged_path:
-        storage.delete(spark, staged_path)
+            storage.delete(spark, staged_path)
+        # What is not complete has changed nothing and goes; what is complete waits for the next call.
+        _drop_unfinished(spark, path)
     if table_name:
         register_table(spark, table_name, path, repair=bool(partition_cols))
     merged = storage.read_parquet_if_exists(spark, path)
@@ -190,16 +196,51 @@ def _only_partitions_of(
     return existing.where(inside)
 
 
-def _swap(spark: SparkSession, source: str, target: str) -> None:
-    """Put ``source`` in the place of ``target``; the old data goes last."""
-    old = storage.sibling(target, "old")
-    storage.rename(spark, target, old)
-    try:
-        storage.rename(spark, source, target)
-    except Exception:
-        storage.rename(spark, old, target)
-        raise
-    storage.delete(spark, old)
+#: Kinds of swap: of the whole dataset, or of its partition folders, that many levels down.
+_DEPTHS = (0, 1, 2)
+
+
+def _swap_path(path: str, depth: int) -> str:
+    """Where new data waits to take the place of old: one name per dataset, so a later call finds it."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.swap{depth}-{name}" if parent else f".swap{depth}-{name}"
+
+
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Put complete new data in the place of the old, also after a call that broke off in between.
+
+    Each folder is moved aside, then the new one moved in. What was moved aside goes when all
+    are in. New data without Spark's mark of success was never complete and is deleted.
+    """
+    _drop_unfinished(spark, path)
+    for depth in _DEPTHS:
+        swap = _swap_path(path, depth)
+        if not storage.exists(spark, f"{swap}/new"):
+            # All folders are in: only the end was missing.
+            storage.delete(spark, swap)
+            continue
+        for folder in _folders(spark, f"{swap}/new", depth):
+            target, old = (f"{base}/{folder}".rstrip("/") for base in (path.rstrip("/"), f"{swap}/old"))
+            if storage.exists(spark, target) and not storage.exists(spark, old):
+                storage.rename(spark, target, old)
+            storage.rename(spark, f"{swap}/new/{folder}".rstrip("/"), target)
+        storage.delete(spark, swap)
+
+
+def _folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders ``depth`` levels below, or the folder itself as ``""``."""
+    found = [""]
+    for _ in range(depth):
+        found = [f"{f}/{d}".lstrip("/") for f in found for d in storage.list_dirs(spark, f"{path}/{f}".rstrip("/")) if "=" in d]
+    return found
+
+
+def _drop_unfinished(spark: SparkSession, path: str) -> None:
+    for depth in _DEPTHS:
+        swap = _swap_path(path, depth)
+        begun = storage.exists(spark, f"{swap}/old")
+        if storage.exists(spark, f"{swap}/new") and not begun and not storage.exists(spark, f"{swap}/new/_SUCCESS"):
+            storage.delete(spark, swap)
 
 
 def write_replay_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:

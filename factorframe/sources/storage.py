@@ -70,7 +70,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     if not _LOCAL_CHECKPOINTS:
         _LOCAL_CHECKPOINTS.append(tempfile.mkdtemp(prefix="factorframe-"))

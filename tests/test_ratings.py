@@ -209,3 +209,41 @@ def test_split_is_stable_and_keeps_keys_together(make_ratings):
     for ratio in (0.0, 1.0, -1, 2):
         with pytest.raises(ValueError):
             ops.split_by_key(train, ratio)
+
+
+@pytest.mark.parametrize("rewrite", ["touched", "all"])
+@pytest.mark.parametrize("broken_at", range(1, 9))
+def test_upsert_that_breaks_off_loses_nothing(spark, make_ratings, tmp_path, monkeypatch, rewrite, broken_at):
+    """The driver dies before, between or after the moves of folders; the next call finds every row."""
+    path = str(tmp_path / "ratings")
+    old = [(i, u, 1, f"200{y}-0{m}-01") for i in range(3) for u in range(2) for y in (4, 5) for m in (1, 2)]
+    new = [(i, 9, 5, f"2005-0{m}-02") for i in range(3) for m in (1, 2)]
+    sources.upsert_ratings(make_ratings(old), path)
+    moves, rename = [], storage.rename
+
+    def dying(*args):
+        moves.append(args)
+        if len(moves) == broken_at:
+            raise KeyboardInterrupt
+        rename(*args)
+
+    monkeypatch.setattr(storage, "rename", dying)
+    broke = False
+    try:
+        sources.upsert_ratings(make_ratings(new), path, rewrite=rewrite)
+    except KeyboardInterrupt:
+        broke = True
+    assert broke == (len(moves) >= broken_at)
+    monkeypatch.setattr(storage, "rename", rename)
+    got = sources.upsert_ratings(make_ratings([(7, 7, 7, "2006-01-01")]), path)
+    assert got.count() == len(old) + len(new) + 1
+    assert [p.name for p in tmp_path.iterdir()] == ["ratings"]
+
+
+def test_nothing_stays_behind_after_an_error(spark, make_ratings, tmp_path):
+    path = str(tmp_path / "ratings")
+    sources.upsert_ratings(make_ratings([(1, 1, 1, "2005-01-01")]), path)
+    bad = make_ratings([(1, 2, 3, "2005-01-01")]).withColumn("RATING", F.raise_error(F.lit("no rating")).cast("int"))
+    with pytest.raises(Exception, match="no rating"):
+        sources.upsert_ratings(bad, path)
+    assert [p.name for p in tmp_path.iterdir()] == ["ratings"] and sources.read_ratings(spark, path).count() == 1
