@@ -7,10 +7,11 @@ length, moved by once, so any run of words as long as an item lies inside one.
 
 Every passage of every document is a query, and all items above the threshold are wanted, not the best few:
 
-* WAND: the largest impact of each term bounds what it can add. Running sums give the bound of all passages
-  of a document at once; those below the threshold are done.
-* Block-max: items lie in blocks, and each term has its largest impact in each block. Blocks whose bound is below the
-  threshold are skipped; items in the others get their exact score.
+* Block-max: items lie in blocks, the short ones together, and each term has its largest impact in each block. The sum
+  over a passage's terms bounds what any item of the block can score. A document is cut into tiles of half a passage; the
+  bounds of its tiles are summed at once, and two neighbours bound their passage. Where no block reaches the
+  threshold the passage is done.
+* WAND: in the blocks that do reach it, the exact scores of their items are summed from the inverted lists alone.
 * Hits are verified: of the question's words and of the answer's (the last sentence) enough must lie in three-word runs
   that the passage shares with the item.
 
@@ -41,9 +42,10 @@ THRESHOLD = 0.5
 #: Share of the words of question and answer that must lie in shared runs.
 OVERLAP = 0.6
 RUN = 3
-SHARD_POSTINGS = 1_000_000
+SHARD_POSTINGS = 250_000
 _SHORTEST = 32
-_BLOCK = 32
+#: Items of a block at least, and blocks at most.
+_BLOCK, _BLOCKS = 8, 64
 
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -115,42 +117,39 @@ def build_index(items: DataFrame) -> DataFrame:
 
 
 class _Postings:
-    """The inverted lists of one length class, with the largest impacts of terms and of their blocks."""
+    """The inverted lists of one length class, with the largest impacts of terms in blocks."""
 
     def __init__(self, items: list[dict]) -> None:
-        self.items = items
+        self.items = items = sorted(items, key=lambda x: (len(x["words"]), x["item"]))
         self.terms: dict[str, int] = {}
         term = np.array([self.terms.setdefault(w, len(self.terms) + 1) for x in items for w in x["words"]], np.int64)
         self.item = np.repeat(np.arange(len(items)), [len(x["words"]) for x in items])
         self.impact = np.concatenate([np.asarray(x["impacts"], np.float64) for x in items])
+        self.block = np.arange(len(items)) // max(_BLOCK, -(-len(items) // _BLOCKS))
+        self.most = np.zeros((len(self.terms) + 1, int(self.block[-1]) + 1), np.float32)  # nothing for term 0: no item's
+        np.maximum.at(self.most, (term, self.block[self.item]), self.impact.astype(np.float32))
         order = np.lexsort((self.item, term))
         term, self.item, self.impact = term[order], self.item[order], self.impact[order]
-        n = len(self.terms) + 1
-        self.start = np.searchsorted(term, np.arange(n + 1))
-        self.most = np.zeros(n)  # of term 0, which no item has, nothing
-        np.maximum.at(self.most, term, self.impact)
-        block = term * (1 + len(items) // _BLOCK) + self.item // _BLOCK
-        key, first = np.unique(block, return_index=True)
-        self.block = key % (1 + len(items) // _BLOCK)
-        self.block_most = np.maximum.reduceat(self.impact, first) if len(first) else np.zeros(0)
-        self.block_start = np.searchsorted(key // (1 + len(items) // _BLOCK), np.arange(n + 1))
-
-    @staticmethod
-    def _lists(start: np.ndarray, terms: np.ndarray) -> np.ndarray:
-        """Places of all entries of these terms' lists."""
-        n = start[terms + 1] - start[terms]
+        self.start = np.searchsorted(term, np.arange(len(self.terms) + 2))
+
+    def bounds(self, ids: np.ndarray, size: int) -> np.ndarray:
+        """For each tile of so many words and each block: the sum of its distinct terms' largest impacts."""
+        n, place = len(self.most), ids.nonzero()[0]
+        out = np.zeros((max(1, -(-len(ids) // size)), self.most.shape[1]), np.float32)
+        if len(place):
+            pairs = np.unique(place // size * n + ids[place])
+            tile = pairs // n
+            first = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
+            out[tile[first]] = np.add.reduceat(self.most[pairs % n], first, axis=0)
+        return out
+
+    def above(self, terms: np.ndarray, threshold: float, blocks: np.ndarray | None = None) -> list[tuple[int, float]]:
+        """Items (of the blocks) with their scores for a passage of these distinct, known terms."""
+        n = self.start[terms + 1] - self.start[terms]
         end = n.cumsum()
-        return np.repeat(start[terms] - (end - n), n) + np.arange(end[-1] if len(end) else 0)
-
-    def above(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
-        """Items with their scores for a passage of these (distinct, known) terms."""
-        at = self._lists(self.block_start, terms)
-        bound = np.bincount(self.block[at], self.block_most[at])
-        blocks = bound >= threshold
-        if not blocks.any():
-            return []
-        at = self._lists(self.start, terms)
-        at = at[blocks[self.item[at] // _BLOCK]]
+        at = np.repeat(self.start[terms] - (end - n), n) + np.arange(end[-1] if len(end) else 0)
+        if blocks is not None:
+            at = at[blocks[self.block[self.item[at]]]]
         score = np.bincount(self.item[at], self.impact[at])
         return [(int(i), float(score[i])) for i in np.flatnonzero(score >= threshold)]
 
@@ -185,19 +184,13 @@ class Searcher:
             return out
         for size, index in self.classes:
             ids = np.fromiter(map(index.terms.get, words, repeat(0)), np.int64, len(words))
-            known = ids.nonzero()[0]
-            if not len(known):
-                continue
-            sums = np.concatenate([[0.0], index.most[ids].cumsum()])
-            starts = np.arange(0, max(1, len(words) - size), size)
-            ends = np.minimum(starts + 2 * size, len(words))
-            for k in np.flatnonzero(sums[ends] - sums[starts] >= self.threshold):
-                a, b = int(starts[k]), int(ends[k])
+            tiles = index.bounds(ids, size)
+            passages = tiles[:-1] + tiles[1:] if len(tiles) > 1 else tiles
+            reach = passages >= self.threshold - 1e-4  # single precision
+            for k in np.flatnonzero(reach.any(1)):
+                a, b = int(k) * size, (int(k) + 2) * size
                 terms = np.unique(ids[a:b])
-                terms = terms[terms > 0]
-                if index.most[terms].sum() < self.threshold:
-                    continue
-                for i, score in index.above(terms, self.threshold):
+                for i, score in index.above(terms[terms > 0], self.threshold, reach[k]):
                     item = index.items[i]
                     found = overlaps(*self.parsed[item["item"]], words[a:b])
                     if min(found) >= self.overlap and score > out.get(item["item"], (None, -1.0))[1]:

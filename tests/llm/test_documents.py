@@ -486,14 +486,20 @@ def test_pruning_loses_no_passage(spark):
     index = decontaminate.build_index(spark.createDataFrame(items, "item_id long, text string"))
     shard = next(decontaminate.shards(index))
     for size, found in decontaminate.Searcher(shard).classes:
-        for _ in range(40):
-            passage = {word() for _ in range(2 * size)}
-            terms = np.array(sorted(found.terms[w] for w in passage if w in found.terms), np.int64)
-            got = dict(found.above(terms, 0.3))
-            want = {
-                i: s for i, x in enumerate(found.items) if (s := sum(m for w, m in zip(x["words"], x["impacts"], strict=True) if w in passage)) >= 0.3
-            }
-            assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in got)
+        for _ in range(12):
+            words = [word() for _ in range(int(r.integers(1, 5 * size)))]
+            ids = np.array([found.terms.get(w, 0) for w in words])
+            tiles = found.bounds(ids, size)
+            reach = tiles[:-1] + tiles[1:] if len(tiles) > 1 else tiles
+            assert len(tiles) == -(-len(words) // size)
+            for k in range(len(reach)):
+                passage = set(words[k * size : (k + 2) * size])
+                terms = np.array(sorted(found.terms[w] for w in passage if w in found.terms), np.int64)
+                got = dict(found.above(terms, 0.3, reach[k] >= 0.3 - 1e-4))
+                want = {
+                    i: s for i, x in enumerate(found.items) if (s := sum(m for w, m in zip(x["words"], x["impacts"], strict=True) if w in passage)) >= 0.3
+                }
+                assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in got)
 
 
 def test_planted_items_are_found(spark, given, texts):
