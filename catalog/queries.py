@@ -180,7 +180,8 @@ def factor_checks(spark, sf_dir):
 def registered_table(spark, sf_dir):
     """Ratings upserted in two parts and read through the catalog."""
     path = storage.scratch_path(spark, "ratings")
-    name = "ratings_" + path.rpartition("-")[2]
+    name = "ratings_of_the_catalog"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     r = views.ratings(spark, sf_dir)
     for part in (views.original(r), views.current(r)):
         sources.upsert_ratings(part, path, table_name=name)
