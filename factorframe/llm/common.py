@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from factorframe.sources import storage
 
@@ -19,11 +19,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: a lost executor costs none of it."""
-    path = storage.scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared folder and read again: a lost executor costs none of it.
+
+    Once it is written, the shuffle files it was made from are of no more use, and go.
+    """
+    spark = df.sparkSession
+    path, before = storage.scratch_path(spark, label), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out.saved_path = path
     return out
 
@@ -39,6 +50,11 @@ def spread(df: DataFrame, per_partition: int = 1) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * per_partition)
 
 
+def whole_rows(docs: DataFrame) -> Column:
+    """All columns as one struct, so that no column added beside it can clash; ``select("row.*")`` undoes it."""
+    return F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+
+
 def id_texts(docs: DataFrame) -> DataFrame:
     """Only doc_id and text: other columns, whatever their names, never reach the operators."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from factorframe.llm.common import table
+from factorframe.llm.common import table, whole_rows
 
 #: White space at the ends of a line, for SQL's ``trim``.
 _BLANK = " \t\r\f\v"
@@ -75,18 +75,18 @@ def _removed_ranges(windows: DataFrame) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, *, size: int = 3) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, size: int = 3, keep_names: bool = False) -> DataFrame:
     """All documents with the columns they have, ``text`` cut, and n_lines and n_removed_lines (long) added.
 
-    The added columns replace ones of the same name.
+    The added columns replace ones of the same name; with ``keep_names`` all columns as they were are in
+    the struct ``row``, beside text, n_lines and n_removed_lines.
     """
     own = docs.columns
-    keyed = docs.withColumns(
-        {
-            "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))),
-            "_text": F.col("text"),
-            "_text_hash": F.coalesce(F.xxhash64("text"), F.lit(0)),
-        }
+    keyed = docs.select(
+        whole_rows(docs),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_id"),
+        F.col("text").alias("_text"),
+        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_text_hash"),
     )
     gone = _removed_ranges(_windows(keyed.select("_id", "_text_hash", "_text"), size))
     joined = keyed.join(gone, ["_id", "_text_hash"], "left")
@@ -105,7 +105,11 @@ def dedup_lines(docs: DataFrame, *, size: int = 3) -> DataFrame:
             "n_removed_lines": F.coalesce(gone_lines, F.lit(0)).cast("long"),
         }
     ).withColumn("text", F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(parts, "\n")))
-    return cut.select(*own, *[c for c in ("n_lines", "n_removed_lines") if c not in own])
+    made = ("n_lines", "n_removed_lines")
+    if keep_names:
+        return cut.select("row", "text", *made)
+    kept = [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in own if c not in made]
+    return cut.select(*kept, *made)
 
 
 def _count_lines(text: Column) -> Column:

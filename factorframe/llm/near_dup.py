@@ -305,3 +305,34 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Rule(words=3, percent=85))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS shingle FROM words, unnest(range(1, len(w) - 1)) AS u(i)
+    UNION ALL
+    SELECT doc_id, array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND 2
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+    FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)
+), ways AS (
+    SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+    SELECT DISTINCT x AS doc_id, x AS other FROM ways
+    UNION
+    SELECT r.doc_id, w.y FROM reach r JOIN ways w ON w.x = r.other
+), components AS (
+    SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id,
+    coalesce(c.least, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN components c USING (doc_id)
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factorframe.llm import line_dedup, secrets
+from factorframe.llm import line_dedup, near_dup, secrets
 from factorframe.llm.chat import op6_chat_format
 from factorframe.llm.decontaminate import op8_benchmark_decontamination
 from factorframe.llm.language_id import op1_language_id
@@ -30,5 +30,10 @@ QUERIES = {
     )
 }
 
-#: The others count tokens, compress, learn or sketch, which SQL cannot; tests/llm compares them with brute force.
-ORACLE = {"op7_secret_scan": secrets.ORACLE_SQL, "op9_line_dedup": line_dedup.ORACLE_SQL}
+#: The others count tokens, compress, learn, rank or cut bytes, which SQL cannot do or not on whole tables;
+#: tests/llm compares them with brute force.
+ORACLE = {
+    "op7_secret_scan": secrets.ORACLE_SQL,
+    "op9_line_dedup": line_dedup.ORACLE_SQL,
+    "op10_minhash_near_dup": near_dup.ORACLE_SQL,
+}

@@ -8,25 +8,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from factorframe.llm import decontaminate, language_id, line_dedup, near_dup, packing
-from factorframe.llm.common import saved, table
+from factorframe.llm.common import saved, table, whole_rows
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: texts without a letter, or unlike every language learnt, go."""
     profiles = language_id.learn_profiles(docs.where(~language_id.held_out(F.col("doc_id"))))
-    found = language_id.language_of(F.col("text"), profiles)
-    return docs.withColumn("_language", found).where(language_id.accepted(F.col("_language"))).drop("_language")
+    judged = docs.select(whole_rows(docs), language_id.language_of(F.col("text"), profiles).alias("found"))
+    return judged.where(language_id.accepted(F.col("found"))).select("row.*")
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: later copies of three-line windows go, n_chars follows; a document goes when no word of it is left."""
-    cut = line_dedup.dedup_lines(docs.drop("n_lines", "n_removed_lines"))
+    cut = line_dedup.dedup_lines(docs, keep_names=True)
     gone = (F.col("n_removed_lines") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     cut = cut.where(~F.coalesce(gone, F.lit(False)))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.col("n_removed_lines") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cut.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed_lines")])
+    row = F.col("row")
+    changed = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(row["n_chars"])}
+    return cut.select(*[changed[f.name].cast(f.dataType).alias(f.name) if f.name in changed else row[f.name].alias(f.name) for f in docs.schema])
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
