@@ -15,6 +15,9 @@ between them if their symbols agree, else none. Equal spans start in one column,
 order is needed, one row per segment. Where neighbours share ``SPAN`` symbols they are one class, and its spans but
 those of the least document are removed.
 
+*Which segments.* A minimizer of one document only has no equal spans elsewhere. So the minimizers' hashes go ahead:
+each partition tells documents which of theirs others have too, and only those segments follow.
+
 The external files are Spark's: segments travel in shuffle files, compressed and ordered by partition, and each
 partition is read once, in a row, by one task. A batch of documents first merges its own equal segments and
 settles all but the least document's by itself, so a passage that every document has is one segment per
@@ -47,13 +50,13 @@ _LEFT = _SPANS - 1
 _COLUMNS = _LEFT + SPAN
 _HALF = np.uint64(32)
 _ROW = 88  # columns, filled up to whole 64-bit words
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 2 << 20
 #: One document in so many is looked at to find minimizers that are everywhere.
 SAMPLE = 64
 
 _SENT = pa.schema([("part", pa.int32()), ("doc_ids", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary()), ("rows", pa.binary())])
 _SENT_SQL = "part int, doc_ids binary, starts binary, ends binary, rows binary"
-_FOUND = pa.schema([("doc_id", pa.int64()), ("spans", pa.binary())])
+_PARCELS = pa.schema([("part", pa.int32()), ("doc_ids", pa.binary()), ("words", pa.binary())])
 
 
 def kmer_hashes(data: np.ndarray) -> np.ndarray:
@@ -100,8 +103,8 @@ def _rows(data: np.ndarray, first: np.ndarray, count: np.ndarray, at: np.ndarray
     column = np.arange(_ROW)
     left, right = _LEFT - (at - first), _LEFT + first + count - 1 + SPAN - at
     out = np.zeros((len(first), _ROW), np.uint8)
-    for a in range(0, len(first), 50_000):
-        part = slice(a, a + 50_000)
+    for a in range(0, len(first), 10_000):
+        part = slice(a, a + 10_000)
         place = at[part, None] - _LEFT + column
         inside = (column >= left[part, None]) & (column < right[part, None])
         out[part] = np.where(inside, data[np.where(inside, place, 0)], 0)
@@ -130,17 +133,51 @@ def _settled(order: np.ndarray, runs: np.ndarray, docs: np.ndarray) -> np.ndarra
     return out
 
 
-def _spans_of(docs: np.ndarray, starts: np.ndarray, ends: np.ndarray, out: Batcher) -> Iterator[pa.RecordBatch]:
-    """Rows (document, its merged byte ranges) from single ranges."""
+def _parcels(docs: np.ndarray, words: np.ndarray, parts: int, out: Batcher) -> Iterator[pa.RecordBatch]:
+    """64-bit words for documents, one row for each partition that their documents go to."""
+    part = (mix(docs.astype(np.int64).view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    part, docs, words = part[order], docs[order], words[order]
+    bounds = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True) if len(part) else ():
+        row = int(part[a]), np.ascontiguousarray(docs[a:b]).tobytes(), np.ascontiguousarray(words[a:b]).tobytes()
+        if full := out.add(*row, weight=len(row[1]) + len(row[2])):
+            yield full
+
+
+def _delivered(parcels: DataFrame, parts: int, width: int) -> DataFrame:
+    """doc_id and all its ``words`` of so many columns, one row per document."""
+    schema = pa.schema([("doc_id", pa.int64()), ("words", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, docs, words = Batcher(schema), [np.zeros(0, np.int64)], [np.zeros((0, width), np.int64)]
+        for batch in batches:
+            for row in batch.to_pylist():
+                docs.append(np.frombuffer(row["doc_ids"], np.int64))
+                words.append(np.frombuffer(row["words"], np.int64).reshape(-1, width))
+        doc, word = np.concatenate(docs), np.concatenate(words)
+        order = np.argsort(doc, kind="stable")
+        doc, word = doc[order], word[order]
+        bounds = np.append(np.flatnonzero(np.append(True, doc[1:] != doc[:-1])), len(doc))
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True) if len(doc) else ():
+            if full := out.add(int(doc[a]), word[a:b].tobytes(), weight=8 * width * int(b - a)):
+                yield full
+        yield out.flush()
+
+    return parcels.repartition(parts, "part").mapInArrow(run, "doc_id long, words binary")
+
+
+def _spans_of(docs: np.ndarray, starts: np.ndarray, ends: np.ndarray, parts: int, out: Batcher) -> Iterator[pa.RecordBatch]:
+    """Byte ranges of documents on their way, merged where they touch."""
     if not len(docs):
         return
     order = np.lexsort((starts, docs))
     docs, starts, ends = docs[order], starts[order], ends[order]
-    bounds = np.append(np.flatnonzero(np.append(True, docs[1:] != docs[:-1])), len(docs))
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        s, e = merged(starts[a:b], ends[a:b])
-        if full := out.add(int(docs[a]), np.column_stack([s, e]).astype("<i8").tobytes(), weight=16 * len(s)):
-            yield full
+    new = np.append(True, docs[1:] != docs[:-1])
+    apart = (new.cumsum() - 1) << 40  # so ranges of different documents never touch
+    s, e = merged(starts + apart, ends + apart)
+    own = docs[new][s >> 40]
+    yield from _parcels(own, np.column_stack([s, e]) & ((1 << 40) - 1), parts, out)
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,12 +187,114 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(starts) - 1)]
 
 
+_ASKED = pa.schema([("part", pa.int32()), ("doc_ids", pa.binary()), ("kmers", pa.binary()), ("several", pa.binary())])
+_PARCELS_SQL = "part int, doc_ids binary, words binary"
+_ASKED_SQL = "part int, doc_ids binary, kmers binary, several binary"
+_SHORT = np.uint64(16)  # bits of a hash that stay at home
+
+
+def _documents(batches: Iterator[pa.RecordBatch], column: str | None = None) -> Iterator[tuple[list[int], list[bytes], list]]:
+    """Ids, texts and another column of documents that can have spans, some megabytes of text at a time."""
+    ids, texts, more, size = [], [], [], 0
+    for batch in batches:
+        others = batch.column(column) if column else [None] * batch.num_rows
+        for (doc_id, text), other in zip(rows_of(batch), others, strict=True):
+            if doc_id is None or not text:
+                continue
+            ids.append(doc_id)
+            texts.append(text.encode("utf-8", "surrogatepass"))
+            more.append(other)
+            size += len(texts[-1])
+            if size >= _BATCH_BYTES:
+                yield ids, texts, more
+                ids, texts, more, size = [], [], [], 0
+    if ids:
+        yield ids, texts, more
+
+
+def _ask(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Each minimizer of some documents once, with one of the documents that have it; ``several`` says that more do.
+
+    What several documents of the batch have is told to them at once, in rows without ``several``.
+    """
+    out, packer = Batcher(_ASKED), zstandard.ZstdCompressor(level=1)
+    for ids, texts, _ in _documents(batches):
+        number, _, _, _, kmer = segments(texts)
+        if not len(kmer):
+            continue
+        kmer, doc = kmer >> _SHORT, np.array(ids, np.int64)[number]
+        order = np.lexsort((doc, kmer))
+        kmer, doc = kmer[order], doc[order]
+        new = np.append(True, (kmer[1:] != kmer[:-1]) | (doc[1:] != doc[:-1]))
+        kmer, doc = kmer[new], doc[new]
+        first = np.flatnonzero(np.append(True, kmer[1:] != kmer[:-1]))
+        several = np.diff(np.append(first, len(kmer))) > 1
+        known = np.repeat(several, np.diff(np.append(first, len(kmer))))
+        if known.any():
+            where = int(number[0] + len(kmer)) % parts
+            if full := out.add(where, doc[known].tobytes(), kmer[known].tobytes(), None, weight=16 * int(known.sum())):
+                yield full
+        kmer, doc = kmer[first], doc[first]
+        part = (mix(kmer) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        bounds = np.append(np.flatnonzero(np.append(True, np.diff(part[order]) > 0)), len(part))
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            own = order[a:b]
+            # Six bytes of each hash, column by column of bytes, which packs better.
+            short = np.ascontiguousarray(kmer[own].view(np.uint8).reshape(-1, 8)[:, :6].T)
+            row = (int(part[own[0]]), packer.compress(doc[own].tobytes()), packer.compress(short.tobytes()), packer.compress(several[own].tobytes()))
+            if full := out.add(*row, weight=sum(map(len, row[1:]))):
+                yield full
+    yield out.flush()
+
+
+def _tell(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """To each document the minimizers that others have too."""
+    out, unpacker = Batcher(_PARCELS), zstandard.ZstdDecompressor()
+    docs, kmers, several = [], [], []
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["several"] is None:
+                yield from _parcels(np.frombuffer(row["doc_ids"], np.int64), np.frombuffer(row["kmers"], np.uint64), parts, out)
+                continue
+            docs.append(np.frombuffer(unpacker.decompress(row["doc_ids"]), np.int64))
+            short = np.frombuffer(unpacker.decompress(row["kmers"]), np.uint8).reshape(6, -1)
+            kmers.append(np.pad(short.T, ((0, 0), (0, 2))).copy().view(np.uint64)[:, 0])
+            several.append(np.frombuffer(unpacker.decompress(row["several"]), bool))
+    if docs:
+        doc, kmer, more = np.concatenate(docs), np.concatenate(kmers), np.concatenate(several)
+        order = np.argsort(kmer, kind="stable")
+        doc, kmer, more = doc[order], kmer[order], more[order]
+        first = np.flatnonzero(np.append(True, kmer[1:] != kmer[:-1]))
+        shared = np.logical_or.reduceat(more, first) | (np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first))
+        shared = np.repeat(shared, np.diff(np.append(first, len(kmer)))) & ~more  # those with more have been told
+        yield from _parcels(doc[shared], kmer[shared], parts, out)
+    yield out.flush()
+
+
+def shared_minimizers(docs: DataFrame, parts: int) -> DataFrame:
+    """doc_id and ``words``, hashes (without their last bits) of the minimizers it shares with other documents."""
+    ends = spread(docs)
+    asked = id_texts(docs).mapInArrow(lambda batches: _ask(batches, parts), _ASKED_SQL)
+    told = asked.repartition(parts, "part").mapInArrow(lambda batches: _tell(batches, ends), _PARCELS_SQL)
+    return _delivered(told, ends, 1)
+
+
 def _send(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
-    """Segments on their way to their partitions, and ranges already settled (with no rows), going anywhere."""
+    """Segments on their way to their partitions, and ranges already settled (with no rows), going anywhere.
+
+    ``docs`` has the shared minimizers of each document, too.
+    """
 
-    def pack(ids: list[int], texts: list[bytes], out: Batcher) -> Iterator[pa.RecordBatch]:
+    def pack(ids: list[int], texts: list[bytes], shared: list, out: Batcher) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         number, first, count, at, kmer = segments(texts)
+        known = [np.frombuffer(x.as_py(), np.uint64) for x in shared]
+        whose = np.repeat(np.arange(len(known), dtype=np.uint64), [len(k) for k in known])
+        both = lambda k, n: mix(mix(k) + n.astype(np.uint64))
+        keep = np.isin(both(kmer >> _SHORT, number), both(np.concatenate(known), whose))
+        number, first, count, at, kmer = (x[keep] for x in (number, first, count, at, kmer))
         if not len(first):
             return
         data = np.frombuffer(b"".join(texts), np.uint8)
@@ -193,21 +332,11 @@ def _send(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Batcher(_SENT)
-        ids, texts, size = [], [], 0
-        for batch in batches:
-            for doc_id, text in rows_of(batch):
-                if doc_id is None or not text:
-                    continue
-                ids.append(doc_id)
-                texts.append(text.encode("utf-8", "surrogatepass"))
-                size += len(texts[-1])
-                if size >= _BATCH_BYTES:
-                    yield from pack(ids, texts, out)
-                    ids, texts, size = [], [], 0
-        yield from pack(ids, texts, out)
+        for ids, texts, shared in _documents(batches, "words"):
+            yield from pack(ids, texts, shared, out)
         yield out.flush()
 
-    return id_texts(docs).mapInArrow(run, _SENT_SQL)
+    return docs.mapInArrow(run, _SENT_SQL)
 
 
 def _range_least(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -262,15 +391,15 @@ def repeated_spans(rows: np.ndarray, shape: np.ndarray, docs: np.ndarray) -> np.
     return out
 
 
-def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _receive(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """Byte ranges to remove, from the segments of a partition."""
-    out, unpacker = Batcher(_FOUND), zstandard.ZstdDecompressor()
+    out, unpacker = Batcher(_PARCELS), zstandard.ZstdDecompressor()
     docs, starts, bodies = [], [], []
     for batch in batches:
         for row in batch.to_pylist():
             d, s, e = (np.frombuffer(row[c], np.int64) for c in ("doc_ids", "starts", "ends"))
             if row["rows"] is None:
-                yield from _spans_of(d, s, e, out)
+                yield from _spans_of(d, s, e, parts, out)
             else:
                 docs.append(d)
                 starts.append(s)
@@ -293,7 +422,7 @@ def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Equal segments: all but the least document's are settled; one of each goes on.
         order, runs = _equal_runs(rows, shape)
         settled = _settled(order, runs, docs)
-        yield from _spans_of(docs[settled], starts[settled], starts[settled] + count[settled] - 1 + SPAN, out)
+        yield from _spans_of(docs[settled], starts[settled], starts[settled] + count[settled] - 1 + SPAN, parts, out)
         one = order[runs]
         least = np.minimum.reduceat(docs[order], runs)
         hit = repeated_spans(rows[one], shape[one], least)
@@ -305,7 +434,7 @@ def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, column = np.nonzero(hit[run_of[left]])
         own = left[at]
         start = starts[own] + column - (_LEFT - (shape[own] >> 8))
-        yield from _spans_of(docs[own], start, start + SPAN, out)
+        yield from _spans_of(docs[own], start, start + SPAN, parts, out)
     yield out.flush()
 
 
@@ -328,15 +457,19 @@ def _hot_minimizers(docs: DataFrame, parts: int) -> np.ndarray:
 
 
 def removed_ranges(docs: DataFrame, *, parts: int | None = None) -> DataFrame:
-    """doc_id and byte ranges (pairs of 64-bit start and end, each row's merged) to remove; several rows per document."""
-    parts = parts or spread(docs, 4)
-    sent = _send(docs, parts, _hot_minimizers(docs, parts))
-    return saved(sent.repartition(parts, "part").mapInArrow(_receive, "doc_id long, spans binary"), "ranges")
+    """doc_id and ``words``, pairs of start and end of the byte ranges to remove: a written table, one row per document."""
+    parts, ends = parts or spread(docs, 2), spread(docs)
+    shared = saved(shared_minimizers(docs, parts), "minimizers")
+    sent = _send(id_texts(docs).join(shared, "doc_id"), parts, _hot_minimizers(docs, parts))
+    found = sent.repartition(parts, "part").mapInArrow(lambda batches: _receive(batches, ends), _PARCELS_SQL)
+    ranges = saved(_delivered(found, ends, 2), "ranges")
+    drop_saved(shared)
+    return ranges
 
 
 def remove_repeats(docs: DataFrame, *, with_text: bool = False, parts: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256; with ``with_text`` also ``kept``, the remaining bytes."""
-    ranges = removed_ranges(docs, parts=parts).groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
+    ranges = removed_ranges(docs, parts=parts)
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     kinds = [pa.int64()] * 4 + [pa.string()]
     schema = pa.schema(list(zip(names, kinds, strict=True)) + [("kept", pa.binary())] * with_text)
@@ -344,11 +477,11 @@ def remove_repeats(docs: DataFrame, *, with_text: bool = False, parts: int | Non
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Batcher(schema)
         for batch in batches:
-            for (doc_id, text), spans in zip(rows_of(batch), batch.column("spans"), strict=True):
+            for (doc_id, text), spans in zip(rows_of(batch), batch.column("words"), strict=True):
                 data = (text or "").encode("utf-8", "surrogatepass")
                 kept, removed, n = data, 0, 0
                 if spans.is_valid:
-                    both = np.frombuffer(b"".join(spans.as_py()), "<i8").reshape(-1, 2)
+                    both = np.frombuffer(spans.as_py(), np.int64).reshape(-1, 2)
                     both = both[np.argsort(both[:, 0], kind="stable")]
                     s, e = merged(both[:, 0], np.minimum(both[:, 1], len(data)))
                     kept = b"".join(data[a:b] for a, b in zip([0, *e], [*s, len(data)], strict=True))
