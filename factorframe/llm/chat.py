@@ -273,4 +273,5 @@ def canonical_turns(found: DataFrame) -> DataFrame:
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = saved(transcripts(table(spark, sf_dir, "conversations")), "transcripts")
-    return canonical_turns(find_roles(lines, learn(lines)))
+    # Read twice, for the turns and for their numbers: decoded once.
+    return canonical_turns(saved(find_roles(lines, learn(lines)), "states"))
