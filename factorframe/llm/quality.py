@@ -1,9 +1,10 @@
 """Quality rules: counts of words and repeats, and compression bands.
 
-A text is compressed as a whole and in fixed chunks with zstandard. A ratio (compressed over
-plain bytes) below its band means repetition, above it means noise; the band depends on the
-length, as short texts compress less. The whole text must be inside its band, and so must
-all but a small share of its chunks.
+A text is compressed as a whole and in chunks with zstandard, every byte in one of them: fixed chunks, and
+what is left at the end. A ratio (compressed over plain bytes) below its band means repetition, above it means
+noise; the band depends on the length, as short texts compress less. The whole text must be inside its
+band, and so must all but a small share of its chunks. The last chunk is judged by its own length; a rest too
+short to judge belongs to the chunk before it. A text of one chunk is that chunk.
 
 Defined results: a null or empty text has no words, all counts 0, a null ratio, and is not kept. Repeated rows are
 judged alike; a null doc_id is carried through.
@@ -30,7 +31,7 @@ class Bands:
     """Limits of the ratio by length in bytes.
 
     ``limits`` has (from so many bytes, least ratio, largest ratio) in rising order. Texts and
-    chunks shorter than the first are too short to judge. At most ``odd_chunks`` of the full chunks
+    chunks shorter than the first are too short to judge. At most ``odd_chunks`` of the chunks
     may be outside their band.
     """
 
@@ -87,18 +88,19 @@ def repeat_words(words: list[bytes]) -> int:
 
 
 def compression(data: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple[float | None, int, int, bool]:
-    """Ratio of the whole, number of full chunks, chunks outside their band, the verdict."""
+    """Ratio of the whole, number of chunks, chunks outside their band, the verdict."""
     if not data:
         return None, 0, 0, False
     packed = len(packer.compress(data))
-    chunks = odd = 0
-    if len(data) > bands.chunk:
-        view = memoryview(data)
-        for at in range(0, len(data) - bands.chunk + 1, bands.chunk):
-            chunks += 1
-            odd += bands.outside(bands.chunk, len(packer.compress(view[at : at + bands.chunk]))) != 0
-    fine = not bands.outside(len(data), packed) and odd <= bands.odd_chunks * chunks
-    return packed / len(data), chunks, odd, fine
+    whole = bands.outside(len(data), packed)
+    full, rest = divmod(len(data), bands.chunk)
+    chunks = max(1, full + (rest >= bands.limits[0][0]))
+    odd = int(whole != 0)
+    if chunks > 1:
+        view, last = memoryview(data), (chunks - 1) * bands.chunk
+        cuts = [view[at : at + bands.chunk] for at in range(0, last, bands.chunk)] + [view[last:]]
+        odd = sum(bands.outside(len(x), len(packer.compress(x))) != 0 for x in cuts)
+    return packed / len(data), chunks, odd, not whole and odd <= bands.odd_chunks * chunks
 
 
 _SCHEMA = pa.schema(

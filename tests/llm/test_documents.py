@@ -258,6 +258,25 @@ def test_compression_bands(spark):
     assert got[2]["ratio"] > got[1]["ratio"] > got[3]["ratio"]
 
 
+def test_every_byte_lies_in_a_chunk(spark):
+    r = np.random.default_rng(1)
+    words = ["".join(r.choice(list("etaoinshrdlu"), r.integers(2, 9))) for _ in range(3000)]
+    clean = " ".join(words[i] for i in r.integers(0, 3000, 3000))
+    bad = "the very same sentence again and again. " * 100
+    sizes = {"short": 3_000, "one": 4_000, "joined": 4_199, "tail": 4_200, "two": 7_999}
+    texts = {k: clean[:n] for k, n in sizes.items()}
+    texts["bad"] = clean[:4_000] + bad[:3_999]  # two chunks less one byte
+    texts["bad_short"] = clean[:4_000] + bad[:1_200]
+    assert len(texts["bad"]) == 7_999
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts.values())], "doc_id long, text string")
+    got = dict(zip(texts, sorted(quality.quality(docs).collect(), key=lambda x: x["doc_id"]), strict=True))
+    assert {k: got[k]["n_chunks"] for k in texts} == {"short": 1, "one": 1, "joined": 1, "tail": 2, "two": 2, "bad": 2, "bad_short": 2}
+    assert all(got[k]["kept"] and not got[k]["n_odd_chunks"] for k in sizes)
+    assert not got["bad_short"]["base_failed"]
+    for k in ("bad", "bad_short"):
+        assert 0.10 < got[k]["ratio"] < 0.62 and got[k]["n_odd_chunks"] == 1 and not got[k]["kept"]
+
+
 # --- token counts
 
 
