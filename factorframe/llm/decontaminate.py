@@ -12,8 +12,10 @@ Every passage of every document is a query, and all items above the threshold ar
   bounds of its tiles are summed at once, and two neighbours bound their passage. Where no block reaches the
   threshold the passage is done.
 * WAND: in the blocks that do reach it, the exact scores of their items are summed from the inverted lists alone.
-* Hits are verified: of the question's words and of the answer's (the last sentence) enough must lie in three-word runs
-  that the passage shares with the item.
+* Hits are verified by the words that lie in three-word runs that the passage shares with the item. A passage is a leak
+  if it has ``OVERLAP`` of the question's words and of the answer's (the last sentence), or ``WHOLE_OVERLAP`` of all the
+  item's words, or, where the answer has fewer than ``ANSWER_LEAST`` words and says nothing by itself, ``WHOLE_OVERLAP`` of
+  the question's. So a long question counts with its answer cut or changed.
 
 The index is kept in shards of at most ``SHARD_POSTINGS`` postings, and each is broadcast by itself, with one pass over the
 documents, so the size of a broadcast does not grow with the benchmark.
@@ -41,6 +43,10 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 #: Share of the words of question and answer that must lie in shared runs.
 OVERLAP = 0.6
+#: Share of all words, or of the question's beside a short answer, that is enough whatever the answer's share is.
+WHOLE_OVERLAP = 0.8
+#: An answer of fewer words is not judged by itself: one word changed may leave it no run.
+ANSWER_LEAST = 4
 RUN = 3
 SHARD_POSTINGS = 250_000
 _SHORTEST = 32
@@ -154,8 +160,8 @@ class _Postings:
         return [(int(i), float(score[i])) for i in np.flatnonzero(score >= threshold)]
 
 
-def overlaps(item: list[str], answer: int, passage: list[str]) -> tuple[float, float]:
-    """Shares of question and answer words that lie in runs the passage has too."""
+def overlaps(item: list[str], answer: int, passage: list[str]) -> tuple[float, float, float]:
+    """Shares of question, answer and all words that lie in runs the passage has too."""
     n = min(RUN, len(item))
     there = set(zip(*[passage[i:] for i in range(n)], strict=False))
     covered = np.zeros(len(item), bool)
@@ -164,7 +170,13 @@ def overlaps(item: list[str], answer: int, passage: list[str]) -> tuple[float, f
             covered[i : i + n] = True
     split = len(item) - answer
     question = float(covered[:split].mean())
-    return question, float(covered[split:].mean()) if answer else question
+    return question, float(covered[split:].mean()) if answer else question, float(covered.mean())
+
+
+def is_leak(question: float, answer: float, whole: float, answer_words: int, overlap: float = OVERLAP) -> bool:
+    """Whether these shares make a passage a leak of its item."""
+    enough = max(overlap, WHOLE_OVERLAP)
+    return min(question, answer) >= overlap or whole >= enough or (answer_words < ANSWER_LEAST and question >= enough)
 
 
 class Searcher:
@@ -192,8 +204,10 @@ class Searcher:
                 terms = np.unique(ids[a:b])
                 for i, score in index.above(terms[terms > 0], self.threshold, reach[k]):
                     item = index.items[i]
-                    found = overlaps(*self.parsed[item["item"]], words[a:b])
-                    if min(found) >= self.overlap and score > out.get(item["item"], (None, -1.0))[1]:
+                    item_words, answer = self.parsed[item["item"]]
+                    *found, whole = overlaps(item_words, answer, words[a:b])
+                    leak = is_leak(*found, whole, answer, self.overlap)
+                    if leak and score > out.get(item["item"], (None, -1.0))[1]:
                         out[item["item"]] = (item["item_id"], score, *found)
         return out
 

@@ -497,6 +497,32 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(docs, none).count() == 0 and decontaminate.without_leaks(docs, none).count() == 6
 
 
+def test_leaks_with_another_ending(spark):
+    question = " ".join(f"ask{i}" for i in range(37))
+    short = {1: "Brell", 2: "Old Brell", 3: "Old grey Brell"}
+    items = [(i, f"{question.replace('ask', f'ask{i}x')}. {a}.") for i, a in short.items()]
+    long = " ".join(f"why{i}" for i in range(30)) + "? " + " ".join(f"because{i}" for i in range(6)) + "."
+    even = " ".join(f"half{i}" for i in range(12)) + "? " + " ".join(f"other{i}" for i in range(12)) + "."
+    items += [(4, long), (5, even)]
+    pad = " ".join(f"filler{i}" for i in range(100))
+    rows, want = [], set()
+    for i in short:
+        asked = items[i - 1][1].split(".")[0]
+        for k, text in enumerate((f"{pad} {asked}", f"{pad} {asked}. Another. {pad}", f"{asked}. {short[i].lower()}x")):
+            rows.append((10 * i + k, text))
+            want.add((10 * i + k, i))
+    rows += [(40, f"{pad} {long.split('?')[0]}? Nobody knows this. {pad}"), (50, f"{pad} {even.split('?')[0]}? {pad}")]
+    want.add((40, 4))  # 30 of 36 words; item 5 has half of its words only, as a question without its answer
+    # The question's words in another order are no leak, with a short answer either.
+    rows.append((60, " ".join(items[0][1].split(".")[0].split()[::-1]) + ". Brell."))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert got == want
+    left = {r["doc_id"] for r in decontaminate.without_leaks(docs, bench).collect()}
+    assert left == {r[0] for r in rows} - {d for d, _ in want}
+
+
 def test_pruning_loses_no_passage(spark):
     """Scores of all passages of random documents against plain BM25."""
     r = np.random.default_rng(2)
