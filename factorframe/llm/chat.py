@@ -128,7 +128,9 @@ def learn(lines: DataFrame) -> Model:
     """Counts of known states, with one added to each; lines as from ``transcripts``. Only sums reach the driver.
 
     A transition inside a turn, and one from a turn's last line to the next turn, are counted per turn, so no
-    transcript is ever ordered as a whole: the next turn's role is looked up by turn number in a window over turns.
+    transcript is ever ordered as a whole: the next turn's role is looked up by turn number in a window over the turns of
+    a slice, and across slices in one over their first and last turns. A transcript starts with its least turn, whatever
+    its number; if that one's role is not known, its start is not learnt from.
     """
     role = F.array_position(F.array(*[F.lit(r) for r in ROLES]), F.col("role")).cast("int") - 1
     known = lines.withColumn("r", role).where("r >= 0")
@@ -141,7 +143,8 @@ def learn(lines: DataFrame) -> Model:
             seen[k][row["state"], row[k]] += row["count"]
     start, step = np.ones(STATES), np.ones((STATES, STATES))
     turns = known.groupBy("conv", "turn", "tie", "r").agg(F.max("at").alias("last"))
-    order = Window.partitionBy("conv", F.floor(F.col("turn") / SLICE_TURNS)).orderBy("turn", "tie")
+    turns = turns.withColumn("slice", F.floor(F.col("turn") / SLICE_TURNS))
+    order = Window.partitionBy("conv", "slice").orderBy("turn", "tie")
     pairs = turns.withColumn("next", F.lead("r").over(order)).groupBy("r", "next", F.least("last", F.lit(1)).alias("long"))
     for row in pairs.agg(F.count("*").alias("n"), F.sum("last").alias("inner")).collect():
         r, inside = row["r"], row["r"] + len(ROLES)
@@ -150,7 +153,15 @@ def learn(lines: DataFrame) -> Model:
             step[inside, inside] += row["inner"] - row["n"]
         if row["next"] is not None:
             step[inside if row["long"] else r, row["next"]] += row["n"]
-    for row in turns.where("turn = 0").groupBy("r").count().collect():
+    place = F.struct("turn", "tie")
+    ends = turns.groupBy("conv", "slice").agg(
+        F.min_by("r", place).alias("head"), F.max_by(F.struct("r", F.least("last", F.lit(1)).alias("long")), place).alias("tail")
+    )
+    ends = ends.withColumn("next", F.lead("head").over(Window.partitionBy("conv").orderBy("slice"))).where("next IS NOT NULL")
+    for row in ends.groupBy("tail.r", "tail.long", "next").count().collect():
+        step[row["r"] + len(ROLES) if row["long"] else row["r"], row["next"]] += row["count"]
+    first = lines.groupBy("conv").agg(F.min_by(role, place).alias("r")).where("r >= 0")
+    for row in first.groupBy("r").count().collect():
         start[row["r"]] += row["count"]
     return Model(start, step, seen)
 

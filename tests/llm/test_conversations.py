@@ -55,6 +55,27 @@ def test_roles_are_recovered(spark, lines):
     assert turns["rendered"].str.match(r"<\|(system|user|assistant)\|>\n").all()
 
 
+@pytest.mark.parametrize(("first", "apart"), [(0, 1), (1, 1), (5, 100), (1_700_000_000, 64)])
+def test_every_transition_is_learnt(spark, first, apart):
+    """Across slices too, and from the least turn whatever the numbers are."""
+    roles = ["system"] + ["user", "assistant"] * 70 + ["user"]
+    texts = ["one\ntwo\nthree" if i % 3 == 0 else "one" for i in range(len(roles))]
+    rows = [(c, first + apart * i, r, t) for c in (1, 2) for i, (r, t) in enumerate(zip(roles, texts, strict=True))]
+    rows += [(3, first, None, "who"), (3, first + apart, "user", "me")]  # starts with nobody known
+    lines = saved(chat.transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")), "lines")
+    n, start, step = len(chat.ROLES), np.ones(chat.STATES), np.ones((chat.STATES, chat.STATES))
+    states = []
+    for r, t in zip(roles, texts, strict=True):
+        k = chat.ROLES.index(r)
+        states += [k] + [k + n] * t.count("\n")
+    start[states[0]] += 2
+    for a, b in zip(states, states[1:], strict=False):
+        step[a, b] += 2
+    model = chat.learn(lines)
+    assert np.allclose(np.exp(model.start), start / start.sum())
+    assert np.allclose(np.exp(model.step), step / step.sum(1, keepdims=True))
+
+
 def test_awkward_rows(spark):
     rows = [
         (1, 0, "user", "hi"),
