@@ -581,4 +581,14 @@ ORACLE: dict[str, str] = {
              coalesce(error, '') AS error, coalesce(n, '') AS n, true AS no_items
       FROM customer LEFT JOIN (SELECT * FROM last WHERE r = 1) l ON l.job_id = CAST(c_custkey AS VARCHAR)
     """,
+    "status_table": f"""
+      {with_(STATUS)},
+      batched AS (
+        SELECT *, CASE WHEN day(ts) <= 10 THEN 0 WHEN day(ts) <= 20 THEN 1 ELSE 2 END * 3 + event_id % 3 AS batch FROM log
+      )
+      SELECT job_id, status, coalesce(error, '') AS error, event_id, CAST(batch AS BIGINT) AS batch,
+             1 AS n_expired_hours, 2 AS n_hours, 1 AS n_runs
+      FROM batched WHERE batch >= 3
+      QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY batch DESC, event_id DESC) = 1
+    """,
 }

@@ -832,3 +832,35 @@ def lookup_status(spark, sf_dir):
         F.coalesce(F.element_at("context", "n"), F.lit("")).alias("n"),
         F.col("items").isNull().alias("no_items"),
     )
+
+
+#: When the three thirds of the events arrive, and how long a result lives: the first third has expired by the last.
+ARRIVALS = ("2024-01-11 00:30:00", "2024-01-21 00:30:00", "2024-01-31 00:30:00")
+TABLE_TTL_SECONDS = 15 * 86400
+
+
+@query
+def status_table(spark, sf_dir):
+    """Nine batches in three arrival hours, merged by threes; then the first hour expires."""
+    log = views.status_log(spark, sf_dir).drop("arrived_at").withColumnRenamed("event_id", "seq")
+    table = streaming.StatusTable(spark, storage.scratch_path(spark, "status"), ttl_seconds=TABLE_TTL_SECONDS, fan_in=3)
+    hours = [datetime.fromisoformat(at).replace(tzinfo=timezone.utc) for at in ARRIVALS]
+    day = F.dayofmonth("updated_at")
+    for third, at in enumerate(hours):
+        mine = log.where((day <= 10) if third == 0 else (day <= 20) & (day > 10) if third == 1 else day > 20)
+        for part in range(3):
+            batch = mine.where(F.col("seq") % 3 == part)
+            table.append(batch, 3 * third + part, now=at)
+            table.append(batch, 3 * third + part, now=at)  # a repeated batch changes nothing
+    expired = table.expire(hours[-1])
+    runs = [len(table.current_runs(h)) for h in table.hours()]
+    return table.latest(hours[-1]).select(
+        "job_id",
+        "status",
+        F.coalesce("error", F.lit("")).alias("error"),
+        F.col("seq").alias("event_id"),
+        "batch",
+        F.lit(len(expired)).alias("n_expired_hours"),
+        F.lit(len(runs)).alias("n_hours"),
+        F.lit(max(runs)).alias("n_runs"),
+    )

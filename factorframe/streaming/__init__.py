@@ -7,6 +7,7 @@ from .envelopes import (
     validate_requests,
 )
 from .status import latest_status, live_jobs, lookup_status, prune_results, read_results, result_table
+from .status_table import Run, StatusTable
 from .worker import (
     LatestFactors,
     answer_jobs,
