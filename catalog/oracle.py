@@ -513,6 +513,19 @@ ORACLE: dict[str, str] = {
       SELECT true AS retrained, true AS over_one, count(*) AS test_ratings_count, 8 AS model_rank, true AS in_range
       FROM sides WHERE side = 'test'
     """,
+    "resumed_cycle": f"""
+      {KNOWN_TEST},
+      steps AS (
+        SELECT unnest(['stage', 'remove_source', 'current', 'decide', 'merge', 'remove_staged', 'version', 'train', 'evaluate']) AS step,
+               unnest(range(9)) AS place
+      )
+      SELECT CAST(place AS INTEGER) AS place, step, 2 AS times_lost, true AS retrained, true AS over_one,
+             (SELECT count(*) FROM sides WHERE side = 'test') AS test_ratings_count,
+             (SELECT count(*) FROM sides WHERE side = 'train') AS n_train,
+             (SELECT count(*) FROM sides WHERE side = 'test') AS n_test,
+             2 AS n_versions, true AS same_report
+      FROM steps
+    """,
     "drift_two_cycles": f"""
       {KNOWN_TEST},
       steps AS (
@@ -533,6 +546,11 @@ ORACLE: dict[str, str] = {
              'version_20050101_000000' AS source_version, true AS complete
       FROM ratings
     """,
+    "resolve_complete": """
+      SELECT count(*) AS user_count, count(*) AS item_count, 64 AS rank, 'id' AS user_id_column, 'id' AS item_id_column,
+             'version_20050101_000000' AS source_version, 3 AS n_versions, 64 AS loaded_rank
+      FROM embeddings
+    """,
     "ingest_plan": f"""
       {with_(RATINGS)}
       SELECT "MOVIE_ID", "CUST_ID", "DATE", max("RATING") AS "RATING",

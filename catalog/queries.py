@@ -601,6 +601,19 @@ def als_manifest(spark, sf_dir):
     )
 
 
+@query
+def resolve_complete(spark, sf_dir):
+    """The newest complete version, while a newer one has one table and the newest has half of the other."""
+    base, f = storage.scratch_path(spark, "models"), views.factors(spark, sf_dir)
+    for version, folders in (("20050101", ("userFactors", "itemFactors")), ("20050102", ("userFactors",)), ("20050103", ("userFactors", "itemFactors"))):
+        for folder in folders:
+            f.write.parquet(f"{base}/version_{version}_000000/{folder}")
+    storage.delete(spark, f"{base}/version_20050103_000000/itemFactors/_SUCCESS")
+    _, _, shape = streaming.LatestFactors(spark, base)()
+    manifest = sources.compile_manifest(spark, sources.resolve_version(spark, base))
+    return manifest.withColumns({"n_versions": F.lit(len(sources.list_versions(spark, base))), "loaded_rank": F.lit(shape.rank)})
+
+
 # --- plans -------------------------------------------------------------------
 
 
@@ -681,6 +694,61 @@ def drift_cycle(spark, sf_dir):
     return spark.createDataFrame([row], "retrained boolean, over_one boolean, test_ratings_count long, model_rank int, in_range boolean")
 
 
+class LostDriver(Exception):
+    """Stands for a driver that goes while a cycle runs."""
+
+
+class LosingLedger(plans.Ledger):
+    """Goes when a step is over: before it is on record, or right after."""
+
+    def __init__(self, spark: SparkSession, path: str, step: str, recorded: bool):
+        super().__init__(spark, path)
+        self.step, self.recorded = step, recorded
+
+    def record(self, step, inputs, result):
+        if step != self.step or self.recorded:
+            super().record(step, inputs, result)
+        if step == self.step:
+            raise LostDriver(step)
+
+
+@query
+def resumed_cycle(spark, sf_dir):
+    """A cycle whose driver is lost twice at each step, and its outcome: one, whatever was done again."""
+    r = views.ratings(spark, sf_dir)
+    base, staged, models, book = (storage.scratch_path(spark, x) for x in ("base", "staged", "models", "ledger"))
+    for part, path in zip(ops.split_by_key(views.original(r)), plans.split_paths(base)):
+        sources.upsert_ratings(part, path)
+    plans.train_model(spark, plans.split_paths(base)[0], models, **ALS_OPTIONS)
+    csv = views.write_arrivals_csv(views.current(r), spark)
+
+    def cycle(ledger) -> plans.RunReport:
+        return plans.run_drift_cycle(
+            spark, csv, staged, base, models, remove_source=True,
+            decision_options={"kl_threshold": 1e-6}, als_options=ALS_OPTIONS, ledger=ledger,
+        )
+
+    lost = dict.fromkeys(plans.CYCLE_STEPS, 0)
+    for step in plans.CYCLE_STEPS:
+        for recorded in (False, True):
+            try:
+                cycle(LosingLedger(spark, book, step, recorded))
+            except LostDriver:
+                lost[step] += 1
+    report = cycle(book)
+    same = cycle(book) == report
+    n_train, n_test = (sources.read_ratings(spark, p).count() for p in plans.split_paths(base))
+    outcome = (
+        report.retrained, report.decision["drift_score"] > 1, report.evaluation["test_ratings_count"],
+        n_train, n_test, len(sources.list_versions(spark, models)), same,
+    )
+    return spark.createDataFrame(
+        [(i, step, n, *outcome) for i, (step, n) in enumerate(lost.items())],
+        "place int, step string, times_lost int, retrained boolean, over_one boolean, test_ratings_count long, "
+        "n_train long, n_test long, n_versions int, same_report boolean",
+    )
+
+
 @query
 def drift_two_cycles(spark, sf_dir):
     """Stage and merge twice; per step how many ratings drift detection saw and what is stored after it.

@@ -7,7 +7,9 @@ from .ingest import (
     stage_arrivals,
     stage_arrivals_stream,
 )
+from .ledger import Ledger
 from .lifecycle import (
+    CYCLE_STEPS,
     RunReport,
     detect_drift,
     evaluate_version,

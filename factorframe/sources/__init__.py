@@ -12,12 +12,14 @@ from .models import (
     compile_manifests,
     factor_folders,
     is_complete,
+    is_written,
     list_versions,
     load_model,
     read_model_factors,
     resolve_version,
     save_model,
     version_name,
+    version_path,
     version_timestamp,
 )
 from .ratings import (

@@ -43,6 +43,37 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path``, sorted; none when there is no such folder."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, there as a whole or not at all; it replaces one that is there."""
+    aside = sibling(path, "aside")
+    fs, p = _fs(spark, aside)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    delete(spark, path)
+    rename(spark, aside, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def sibling(path: str, label: str) -> str:
     """A fresh hidden path next to ``path``, so a rename stays on one filesystem."""
     parent, _, name = path.rstrip("/").rpartition("/")
