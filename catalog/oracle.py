@@ -285,6 +285,7 @@ ORACLE: dict[str, str] = {
     """,
     "upsert_merge": UPSERT,
     "upsert_rewrite_all": UPSERT,
+    "merge_by_files": f"SELECT *, 3 AS n_commits, true AS some_replaced, true AS again_nothing FROM ({UPSERT})",
     "replay_order": f"""
       {with_(RATINGS)}
       SELECT "DATE", count(*) AS n, CAST(sum("RATING") AS BIGINT) AS sum_rating,

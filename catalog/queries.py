@@ -134,6 +134,26 @@ def upsert_rewrite_all(spark, sf_dir):
     return sources.upsert_ratings(later, path, rewrite="all")
 
 
+@query
+def merge_by_files(spark, sf_dir):
+    """As ``upsert_merge``, file by file; then rows that change nothing, and one commit back in time."""
+    table = sources.VersionedRatings(spark, storage.scratch_path(spark, "ratings"))
+    rows = views.numbered_ratings(spark, sf_dir)
+    table.merge(views.original(rows))
+    turned = F.when(F.col("line") != 7, 6 - F.col(RATING))
+    later = rows.where(F.col(DATE) >= "1998-01-01").withColumn(RATING, turned)
+    counts = table.merge(later)
+    again = table.merge(later)
+    in_between = table.read(again.commit - 1).count() == table.read().count()
+    return table.read().withColumns(
+        {
+            "n_commits": F.lit(len(table.commits())),
+            "some_replaced": F.lit(counts.replaced > 0),
+            "again_nothing": F.lit((again.replaced, again.added) == (0, 0) and in_between),
+        }
+    )
+
+
 @query
 def replay_order(spark, sf_dir):
     """Per day of the replay files: how many ratings, and how many stand before an earlier one."""

@@ -32,5 +32,6 @@ from .ratings import (
     write_ratings,
     write_replay_csv,
 )
+from .versioned import MergeCounts, VersionedRatings
 
 __all__ = [n for n in dir() if not n.startswith("_")]
