@@ -446,6 +446,12 @@ ORACLE: dict[str, str] = {
       SELECT DISTINCT query_id, true AS solved, CAST(64 AS BIGINT) AS rank
       FROM feedback WHERE item_id IN (SELECT id FROM factors)
     """,
+    "fold_in_kinds": f"""
+      {with_(FACTORS, FEEDBACK)}
+      SELECT DISTINCT query_id, implicit, nonnegative, true AS met, CAST(64 AS BIGINT) AS rank
+      FROM feedback, (VALUES (true, false), (false, true), (true, true)) AS kinds(implicit, nonnegative)
+      WHERE item_id IN (SELECT id FROM factors)
+    """,
     "regression_metrics": f"""
       {with_(RATINGS, PREDICTED)}
       SELECT round(sqrt(avg(("RATING" - prediction) * ("RATING" - prediction))), 6) AS rmse,

@@ -1,6 +1,6 @@
 from .als import evaluate, fit_factors, model_factors, recommend_for_users, score_ratings
 from .drift import data_drift, drift_report, prediction_drift, rating_summary, retrain_decision
-from .foldin import fold_in, mean_item_vector, normal_equations, usable_feedback
+from .foldin import fold_in, item_gram, mean_item_vector, normal_equations, usable_feedback, weighted_feedback
 from .metrics import (
     flatten_recommendations,
     rank_recommendations,
@@ -8,6 +8,7 @@ from .metrics import (
     ranking_per_user,
     regression_metrics,
 )
+from .nnls import nonnegative_solutions
 from .quality import (
     complete_rows,
     drop_columns,
