@@ -567,6 +567,34 @@ ORACLE: dict[str, str] = {
     "replay_plan": f"""
       {with_(RATINGS)} SELECT "DATE", "CUST_ID", "MOVIE_ID", "RATING" FROM ratings
     """,
+    "plan_counts": f"""
+      {with_(RATINGS)},
+      first AS (SELECT *, {SIDE} AS side FROM orig),
+      arrived AS (
+        SELECT "MOVIE_ID", "CUST_ID", "DATE", CASE WHEN line <> 7 THEN 6 - "RATING" END AS "RATING"
+        FROM numbered WHERE "DATE" >= DATE '1998-01-01'
+      ),
+      later AS (SELECT *, {SIDE} AS side FROM arrived WHERE "RATING" IS NOT NULL),
+      stored AS (SELECT DISTINCT side, "MOVIE_ID", "CUST_ID", "DATE" FROM first),
+      staged AS (SELECT DISTINCT side, "MOVIE_ID", "CUST_ID", "DATE" FROM later),
+      touched AS (SELECT DISTINCT side, date_trunc('month', "DATE") AS month FROM staged),
+      old AS (SELECT s.* FROM stored s JOIN touched t ON s.side = t.side AND date_trunc('month', s."DATE") = t.month),
+      sizes AS (
+        SELECT 'ingest' AS step, side, count(*) AS rows_in, 0 AS existing,
+               (SELECT count(*) FROM stored s WHERE s.side = f.side) AS written
+        FROM first f GROUP BY side
+        UNION ALL
+        SELECT 'stage', side, count(*), 0, (SELECT count(*) FROM staged s WHERE s.side = l.side) FROM later l GROUP BY side
+        UNION ALL
+        SELECT 'merge', side, count(*), (SELECT count(*) FROM old o WHERE o.side = s.side),
+               (SELECT count(*) FROM (SELECT * FROM old UNION SELECT * FROM staged) u WHERE u.side = s.side)
+        FROM staged s GROUP BY side
+      )
+      SELECT step, side, rows_in, CAST(0 AS BIGINT) AS incomplete, CAST(existing AS BIGINT) AS existing, written,
+             CAST(written - existing AS BIGINT) AS added FROM sizes
+      UNION ALL
+      SELECT 'arrive', '', count(*), count(*) - count("RATING"), 0, count("RATING"), 0 FROM arrived
+    """,
     "merge_staged": MERGED_SIDES,
     "stage_stream": MERGED_SIDES,
     "drift_cycle_data": MERGED_SIDES,

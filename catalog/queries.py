@@ -704,6 +704,26 @@ def merge_staged(spark, sf_dir):
     return both_sides(*(sources.read_ratings(spark, p) for p in plans.split_paths(base)))
 
 
+@query
+def plan_counts(spark, sf_dir):
+    """What ingest, staging and merging say they read, left out and wrote, while they did it."""
+    rows = views.numbered_ratings(spark, sf_dir)
+    base, staged = (storage.scratch_path(spark, x) for x in ("base", "staged"))
+    files = [views.write_clean_blocked_text(part, spark) for part in ops.split_by_key(views.original(rows))]
+    turned = F.when(F.col("line") != 7, 6 - F.col(RATING))
+    later = rows.where(F.col(DATE) >= "1998-01-01").withColumn(RATING, turned).drop("order", "line")
+    found = [("ingest", side, c) for side, (_, c) in zip(("train", "test"), plans.ingest_ratings(spark, *files, base, with_counts=True))]
+    train, test, arrived = plans.stage_arrivals(spark, views.write_arrivals_csv(later, spark), staged, with_counts=True)
+    found += [("stage", "train", train[1]), ("stage", "test", test[1])]
+    merged = plans.merge_staged(spark, staged, base)
+    found += [("merge", "train", merged.train), ("merge", "test", merged.test)]
+    out = [(step, side, c.rows_in, c.incomplete, c.existing, c.written, c.added) for step, side, c in found]
+    out.append(("arrive", "", arrived.rows_in, arrived.incomplete, 0, arrived.rows_in - arrived.incomplete, 0))
+    return spark.createDataFrame(
+        out, "step string, side string, rows_in long, incomplete long, existing long, written long, added long"
+    )
+
+
 @query
 def stage_stream(spark, sf_dir):
     """The arrivals as a stream of files."""

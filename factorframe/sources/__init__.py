@@ -1,4 +1,5 @@
 from .blocked_text import parse_blocked_lines, read_blocked_ratings
+from .counts import ArrivalCounts, RowCounts, UpsertCounts
 from .factors import (
     FactorShape,
     as_factors,

@@ -19,6 +19,7 @@ from ..schema import (
     YEAR,
 )
 from . import storage
+from .counts import RowCounts, UpsertCounts
 
 _DEFAULT_WRITE_OPTIONS = {"compression": "snappy"}
 
@@ -33,10 +34,11 @@ def read_ratings_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     return storage.read_parquet_if_exists(spark, path)
 
 
-def read_ratings_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Arrived ratings: CSV with a header. Rows with a null or bad field go."""
+def read_ratings_csv(spark: SparkSession, path: str | list[str], *, complete: bool = True) -> DataFrame:
+    """Arrived ratings: CSV with a header. Rows with a null or bad field go, or have nulls if not ``complete``."""
     arrived = spark.read.schema(ARRIVALS_CSV).option("header", True).csv(path)
-    return complete_rows(arrived.withColumn(DATE, F.try_to_date(DATE)))
+    typed = arrived.withColumn(DATE, F.try_to_date(DATE))
+    return complete_rows(typed) if complete else typed
 
 
 def write_ratings(
@@ -48,19 +50,22 @@ def write_ratings(
     target_repartition: int | None = None,
     table_name: str | None = None,
     options: Mapping[str, str] | None = None,
+    counts: RowCounts | None = None,
 ) -> None:
     """Write Parquet in one folder per partition value.
 
     The rows are rebalanced by partition: small partitions share a task and a
     large one is split over many, so neither a flood of small files nor a single
     writer for a hot month appears. ``target_repartition`` sets the number of
-    shuffle partitions the rebalancing starts from.
+    shuffle partitions the rebalancing starts from. ``counts`` gets the rows as ``written``.
     """
     partition_cols = list(partition_cols)
     out = with_date_parts(df, partition_cols)
     if partition_cols:
         start = [target_repartition] if target_repartition else []
         out = out.hint("rebalance", *start, *partition_cols)
+    if counts is not None:
+        out = counts.tap(out, "written")
     writer = out.write.mode(mode).options(**{**_DEFAULT_WRITE_OPTIONS, **(options or {})})
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
@@ -91,7 +96,8 @@ def upsert_ratings(
     target_repartition: int | None = None,
     table_name: str | None = None,
     options: Mapping[str, str] | None = None,
-) -> DataFrame:
+    with_counts: bool = False,
+) -> DataFrame | tuple[DataFrame, UpsertCounts]:
     """Merge ratings into a dataset, keeping the highest rating of each key.
 
     A dataset that does not exist yet is written at once. Otherwise the new rows
@@ -110,7 +116,8 @@ def upsert_ratings(
         The whole dataset is cleaned and de-duplicated again, written aside and
         swapped in. For datasets that something else wrote.
 
-    Returns the merged dataset, read back.
+    Returns the merged dataset, read back; ``with_counts`` also what came, was left out and was written, observed
+    by the jobs that write.
     """
     if rewrite not in ("touched", "all"):
         raise ValueError(f"rewrite must be 'touched' or 'all', got {rewrite!r}")
@@ -121,21 +128,31 @@ def upsert_ratings(
         partition_cols=partition_cols, target_repartition=target_repartition, options=options
     )
 
+    counts = RowCounts() if with_counts else None
+
+    def tap(df: DataFrame, name: str) -> DataFrame:
+        return df if counts is None else counts.tap(df, name)
+
     def clean(df: DataFrame) -> DataFrame:
         # Incomplete rows never win over complete ones of a key, so they can go first.
         rows = complete_rows(drop_columns(df, partition_cols), required)
         return keep_max(rows, keys, target)
 
+    def arrived(df: DataFrame) -> DataFrame:
+        if counts is None:
+            return df
+        return tap(complete_rows(tap(df, "in"), required), "complete")
+
     finish_swap(spark, path)
     existing = storage.read_parquet_if_exists(spark, path)
     staged_path = storage.sibling(path, "staged") if stage and existing is not None else None
     try:
         if existing is None:
-            write_ratings(clean(new), path, **layout)
+            write_ratings(clean(arrived(new)), path, **layout, counts=counts)
         else:
             added = new
             if staged_path:
-                write_ratings(clean(new), staged_path, **layout)
+                write_ratings(clean(arrived(new)), staged_path, **layout)
                 added = storage.read_parquet_if_exists(spark, staged_path)
             # Elsewhere a key could sit in another partition, or a column be missing.
             local_change = (
@@ -146,14 +163,15 @@ def upsert_ratings(
             )
             depth = 0
             if rewrite == "touched" and local_change:
-                rows = _union(_only_partitions_of(existing, added, partition_cols), added, partition_cols)
+                old = _only_partitions_of(existing, added, partition_cols)
                 depth = len(partition_cols)
-            elif added is not None:
-                rows = _union(existing, added, partition_cols)
             else:
-                rows = existing if rewrite == "all" else None
-            if rows is not None:
-                write_ratings(clean(rows), f"{_swap_path(path, depth)}/new", **layout)
+                old = existing if added is not None or rewrite == "all" else None
+            if old is not None:
+                rows = old = tap(old, "existing")
+                if added is not None:
+                    rows = _union(old, added if staged_path else arrived(added), partition_cols)
+                write_ratings(clean(rows), f"{_swap_path(path, depth)}/new", **layout, counts=counts)
                 finish_swap(spark, path)
     finally:
         if staged_path:
@@ -163,7 +181,12 @@ def upsert_ratings(
     if table_name:
         register_table(spark, table_name, path, repair=bool(partition_cols))
     merged = storage.read_parquet_if_exists(spark, path)
-    return clean(new) if merged is None else merged
+    merged = clean(new) if merged is None else merged
+    if counts is None:
+        return merged
+    came = counts.rows("in", recount=True)
+    left_out = came - counts.rows("complete", recount=True)
+    return merged, UpsertCounts(came, left_out, counts.rows("existing"), counts.rows("written"))
 
 
 def _union(existing: DataFrame, new: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
