@@ -412,6 +412,19 @@ ORACLE: dict[str, str] = {
                    FROM factors q, factors i
                    WHERE NOT EXISTS (SELECT 1 FROM feedback f WHERE f.query_id = q.id AND f.item_id = i.id)"""
     ),
+    "topk_norm_index": "SELECT *, true AS half_skipped FROM ("
+    + with_(FACTORS, FEEDBACK)
+    + """,
+      scaled AS (
+        SELECT id, [CAST(CAST(x * pow(2.0, -CAST(id % 97 AS DOUBLE) / 8) AS FLOAT) AS DOUBLE) FOR x IN features] AS features
+        FROM factors
+      ),"""
+    + RANKED.format(
+        scored=f"""SELECT q.id AS query_id, i.id AS item_id, 10 AS k, {SCORE} AS score
+                   FROM factors q, scaled i
+                   WHERE NOT EXISTS (SELECT 1 FROM feedback f WHERE f.query_id = q.id AND f.item_id = i.id)"""
+    )
+    + ")",
     "recommend_known_users": with_(FACTORS)
     + ","
     + RANKED.format(

@@ -369,6 +369,22 @@ def topk_with_exclusions(spark, sf_dir):
     return ranked_columns(ops.top_k(f.withColumnRenamed("id", "query_id"), f, 10, exclude))
 
 
+@query
+def topk_norm_index(spark, sf_dir):
+    """Top ten over items whose lengths fall steeply, from blocks by length: exact, and most blocks are skipped."""
+    f = views.factors(spark, sf_dir)
+    scale = F.pow(F.lit(2.0), -F.pmod(F.col("id"), F.lit(97)).cast("double") / 8)
+    items = f.withColumn("features", F.transform("features", lambda x: (x * scale).cast("float")))
+    index = ops.NormIndex.build(items, block_items=max(60, items.count() // 16))
+    exclude = views.feedback(spark, sf_dir).select("query_id", "item_id")
+    found = index.top_k(f.withColumnRenamed("id", "query_id"), 10, exclude)
+    path = storage.scratch_path(spark, "found")
+    found.write.parquet(path)
+    found = spark.read.parquet(path)
+    met = found.agg(F.avg("blocks_met")).first()[0] / len(index.lengths)
+    return ranked_columns(found).withColumn("half_skipped", F.lit(met < 0.5))
+
+
 @query
 def recommend_known_users(spark, sf_dir):
     """Each customer asks for as many items as the number of its nation."""

@@ -9,6 +9,7 @@ from .metrics import (
     regression_metrics,
 )
 from .nnls import nonnegative_solutions
+from .norm_index import NormIndex
 from .quality import (
     complete_rows,
     drop_columns,
