@@ -349,6 +349,25 @@ ORACLE: dict[str, str] = {
       {with_(RATINGS, DATA_REPORT)}
       SELECT * EXCLUDE (kl), round(kl, 9) AS kl_divergence FROM data_report
     """,
+    "summary_drift": f"""
+      {with_(RATINGS)},
+      changed AS (
+        SELECT "MOVIE_ID", "CUST_ID", "DATE", max("RATING") AS "RATING" FROM (
+          SELECT "MOVIE_ID", "CUST_ID", "DATE", "RATING" FROM orig
+          UNION ALL
+          SELECT "MOVIE_ID", "CUST_ID", "DATE", CASE WHEN line <> 7 THEN 6 - "RATING" END
+          FROM numbered WHERE year("DATE") = 1998
+        ) WHERE "RATING" IS NOT NULL GROUP BY 1, 2, 3
+      ),
+      report AS (
+        SELECT *, {kl(numbered('original_n'), numbered('current_n'))} AS kl
+        FROM ({summary('changed', '"RATING"', '"RATING"', 'original', '')}),
+             ({summary('curr', '"RATING"', '"RATING"', 'current', '')})
+      )
+      SELECT * EXCLUDE (kl, original_median, current_median), round(kl, 9) AS kl_divergence,
+             true AS original_median_fits, true AS current_median_fits
+      FROM report
+    """,
     "bin_predictions": f"""
       SELECT {BIN.format('value / 100')} AS bin, count(*) AS n FROM events GROUP BY 1
     """,

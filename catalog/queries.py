@@ -265,6 +265,29 @@ def data_drift(spark, sf_dir):
     return ops.data_drift(views.original(r), views.current(r)).select(*report_columns(""))
 
 
+@query
+def summary_drift(spark, sf_dir):
+    """The drift report from month rows, after some months of the dataset have changed and only those were summarised again."""
+    rows, path = views.numbered_ratings(spark, sf_dir), storage.scratch_path(spark, "ratings")
+    stored = {side: ops.MonthSummaries(spark, storage.scratch_path(spark, side)) for side in ("original", "current")}
+    stored["current"].refresh(views.current(rows))
+    stored["original"].refresh(sources.upsert_ratings(views.original(rows).drop("order", "line"), path))
+    turned = F.when(F.col("line") != 7, 6 - F.col(RATING))
+    later = views.original(rows).where(F.col(DATE) >= "1998-01-01").withColumn(RATING, turned).drop("order", "line")
+    merged = sources.upsert_ratings(later, path)
+    stored["original"].refresh(merged, [(1998, m) for m in range(1, 13)])
+    report = ops.drift_from_summaries(*(stored[side].read() for side in ("original", "current")))
+    fine = []
+    for side in ("original", "current"):
+        below, upto = (
+            F.aggregate(F.filter(F.arrays_zip(F.col(f"{side}_counts").alias("n"), F.array(*map(F.lit, RATING_VALUES)).alias("v")), keep), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+            for keep in (lambda x: x["v"] < F.col(f"{side}_median"), lambda x: x["v"] <= F.col(f"{side}_median"))
+        )
+        n = F.col(f"{side}_total")
+        fine.append(((below / n <= 0.51) & (upto / n >= 0.49)).alias(f"{side}_median_fits"))
+    return report.select(*report_columns("", medians=False), *fine)
+
+
 @query
 def bin_predictions(spark, sf_dir):
     binned = bin_rating(F.col("value") / 100)

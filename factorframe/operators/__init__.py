@@ -8,6 +8,7 @@ from .metrics import (
     ranking_per_user,
     regression_metrics,
 )
+from .month_summaries import MonthSummaries, drift_from_summaries, month_summaries
 from .nnls import nonnegative_solutions
 from .norm_index import NormIndex
 from .quality import (
