@@ -478,6 +478,19 @@ ORACLE: dict[str, str] = {
       SELECT DISTINCT query_id, true AS solved, CAST(64 AS BIGINT) AS rank
       FROM feedback WHERE item_id IN (SELECT id FROM factors)
     """,
+    "feedback_increments": f"""
+      {with_(FACTORS, FEEDBACK)},
+      used AS (
+        SELECT query_id, features, sum(rating) AS total, count(*) AS n
+        FROM feedback JOIN factors ON item_id = id GROUP BY query_id, id, features
+      )
+      SELECT query_id, CAST(i - 1 AS INTEGER) AS i, CAST(j - 1 AS INTEGER) AS j,
+             round(sum(n * features[i] * features[j]), 6) + 0.0 AS value
+      FROM used, range(1, 65) a(i), range(1, 65) b(j) WHERE i <= j GROUP BY query_id, i, j
+      UNION ALL
+      SELECT query_id, CAST(i - 1 AS INTEGER), 64, round(sum(total * features[i]), 6) + 0.0
+      FROM used, range(1, 65) a(i) GROUP BY query_id, i
+    """,
     "fold_in_kinds": f"""
       {with_(FACTORS, FEEDBACK)}
       SELECT DISTINCT query_id, implicit, nonnegative, true AS met, CAST(64 AS BIGINT) AS rank

@@ -506,6 +506,24 @@ def fold_in_kinds(spark, sf_dir):
     return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
 
 
+@query
+def feedback_increments(spark, sf_dir):
+    """Every entry of the equations after three batches of feedback: the upper triangle, and the right-hand side as a last column."""
+    items = views.factors(spark, sf_dir)
+    events = views.events(spark, sf_dir).withColumn("batch", F.col("event_id") % 3)
+    columns = [F.col("user_id").alias("query_id"), F.col("n").cast("long").alias("item_id"), (F.col("value") / 100).alias("rating")]
+    sums = ops.FeedbackSums(spark, storage.scratch_path(spark, "sums"), items, fan_in=2)
+    for batch in (0, 1, 1, 2):  # one of them comes again
+        sums.add(events.where(F.col("batch") == batch).select(*columns), batch)
+    total = sums.sums()
+    size = F.size("rhs")
+    places = F.flatten(F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.transform(F.sequence(i, size - 1), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    gram = total.select("query_id", F.inline(F.arrays_zip(places.alias("at"), F.col("gram").alias("value"))))
+    rhs = total.select("query_id", size.alias("j"), F.posexplode("rhs").alias("i", "value"))
+    value = no_minus_zero(F.col("value")).alias("value")
+    return gram.select("query_id", "at.i", "at.j", value).unionByName(rhs.select("query_id", "i", "j", value))
+
+
 @query
 def fold_in_recommend(spark, sf_dir):
     """Items for each event user, from the events alone."""
