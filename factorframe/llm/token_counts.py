@@ -42,7 +42,7 @@ def write_blocks(docs: DataFrame, *, block_tokens: int = BLOCK_TOKENS, separator
     kind = f"<u{width}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, encode = Batcher(_BLOCKS, weight=8 << 20), encoder(tokenizer).encode
+        out, encode = Batcher(_BLOCKS, weight=8 << 20), encoder(tokenizer, strict=True).encode
         file, block = f"{TaskContext.get().partitionId():06d}", 0
         held: list[np.ndarray] = []
         size, ends = 0, []  # of the tokens held; the place and id of each document that ends in them

@@ -21,9 +21,12 @@ class Encoder:
     The same vocabulary as ranks, read by ``tiktoken``, gives the same ids about four times as fast. It
     encodes the texts of plain Latin characters and ordinary words; all others go through ``tokenizers`` itself.
     A file of one's own (``path``) is read by ``tokenizers`` alone.
+
+    The strings of special tokens in a text, like the one that ends documents, become their ids, as the library has
+    it, unless ``strict``: then they are ordinary text, and no text can hold such an id.
     """
 
-    def __init__(self, path: str | None = None) -> None:
+    def __init__(self, path: str | None = None, *, strict: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         import public_tokenizers as public
@@ -31,7 +34,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public.path("byte_bpe_50k.json"))
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = strict
+        self.special = [] if strict else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.fast = None
         if path is None:
             with open(public.path("byte_bpe_50k.tiktoken"), "rb") as lines:
@@ -39,7 +43,7 @@ class Encoder:
             self.fast = tiktoken.Encoding("ranks", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def _plain(self, text: str) -> bool:
-        if self.fast is None or _UNUSUAL.search(text):
+        if self.fast is None or _UNUSUAL.search(text) or any(s in text for s in self.special):
             return False
         return max(map(len, text.split()), default=0) < _LONGEST and " " * 100 not in text and "\n" * 100 not in text
 
@@ -52,6 +56,6 @@ class Encoder:
 
 
 @cache
-def encoder(path: str | None = None) -> Encoder:
+def encoder(path: str | None = None, strict: bool = False) -> Encoder:
     """One for each worker process."""
-    return Encoder(path)
+    return Encoder(path, strict=strict)
