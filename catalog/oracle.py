@@ -259,6 +259,13 @@ STATUS = """
   )
 """
 
+PREDICTED_PAIRS = f"""
+  {with_(FACTORS)}
+  SELECT l_orderkey, l_linenumber, l_suppkey AS user_id, l_partkey AS item_id,
+         round(coalesce(list_inner_product(u.features, i.features), 0.0), 6) + 0.0 AS prediction
+  FROM lineitem LEFT JOIN factors u ON u.id = l_suppkey LEFT JOIN factors i ON i.id = l_partkey
+"""
+
 ORACLE: dict[str, str] = {
     "ratings_view": f"{with_(RATINGS)} SELECT * FROM ratings",
     "blocked_text_roundtrip": f"{with_(RATINGS)} SELECT * FROM ratings",
@@ -407,12 +414,8 @@ ORACLE: dict[str, str] = {
              0.0001::DOUBLE AS mean_threshold, 0.5::DOUBLE AS kl_weight
       FROM reasoned
     """,
-    "predict_pairs": f"""
-      {with_(FACTORS)}
-      SELECT l_orderkey, l_linenumber, l_suppkey AS user_id, l_partkey AS item_id,
-             round(coalesce(list_inner_product(u.features, i.features), 0.0), 6) + 0.0 AS prediction
-      FROM lineitem LEFT JOIN factors u ON u.id = l_suppkey LEFT JOIN factors i ON i.id = l_partkey
-    """,
+    "predict_pairs": PREDICTED_PAIRS,
+    "predict_pairs_bucketed": PREDICTED_PAIRS,
     "predict_lists": f"""
       {with_(FACTORS)}
       SELECT l_orderkey AS query_id,

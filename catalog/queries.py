@@ -340,6 +340,23 @@ def retrain_decision(spark, sf_dir):
 # --- scoring -----------------------------------------------------------------
 
 
+@query
+def predict_pairs_bucketed(spark, sf_dir):
+    """As ``predict_pairs``, from factor tables in buckets that stay where they are."""
+    f = views.factors(spark, sf_dir)
+    names = [f"bucketed_{side}_factors" for side in ("user", "item")]
+    for name in names:
+        ops.write_bucketed_factors(f, name, buckets=16)
+    pairs = views.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_suppkey").alias("user_id"),
+        F.col("l_partkey").alias("item_id"),
+    )
+    scored = ops.predict_pairs_bucketed(pairs, *names)
+    return scored.withColumn("prediction", no_minus_zero(F.col("prediction")))
+
+
 @query
 def predict_pairs(spark, sf_dir):
     """Every order line as a pair; most parts are no known item."""

@@ -1,4 +1,5 @@
 from .als import evaluate, fit_factors, model_factors, recommend_for_users, score_ratings
+from .bucketed import predict_pairs_bucketed, write_bucketed_factors
 from .drift import data_drift, drift_report, prediction_drift, rating_summary, retrain_decision
 from .feedback_sums import FeedbackSums, packed_equations
 from .foldin import fold_in, item_gram, mean_item_vector, normal_equations, usable_feedback, weighted_feedback
