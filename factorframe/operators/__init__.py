@@ -25,6 +25,7 @@ from .quality import (
 from .scoring import (
     exclude_items,
     fold_in_and_recommend,
+    hot_ids,
     predict_lists,
     predict_pairs,
     recommend,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import dot
 from ..sources import storage
 from ..sources.factors import factor_shape
+from .scoring import hot_ids
 
 #: Buckets unless given: at rank 64, 25 billion bytes of vectors make buckets of about 128 MB.
 BUCKETS = 200
@@ -38,13 +39,6 @@ def bucket_count(spark: SparkSession, name: str) -> int:
     return int(about["Num Buckets"])
 
 
-def hot_ids(rows: DataFrame, key: str, buckets: int) -> list[int]:
-    """Ids with more rows than half of a bucket's share: fewer than twice as many as there are buckets."""
-    sizes = rows.groupBy(F.col(key).cast("long").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    found = sizes.crossJoin(rows.agg(F.count(F.lit(1)).alias("total")))  # one row
-    return [r["id"] for r in found.where("id is not null").where(F.col("n") * 2 * buckets > F.col("total")).collect()]
-
-
 def _with_vectors(rows: DataFrame, key: str, name: str, out: str, hot: list[int]) -> DataFrame:
     """``rows`` with the vector of each ``key`` as ``out``, null where there is none."""
     buckets = bucket_count(rows.sparkSession, name)

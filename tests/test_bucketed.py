@@ -37,7 +37,7 @@ def pairs(spark, hot=0):
 def test_the_rows_of_predict_pairs(spark, tables, hot):
     (user_name, users), (item_name, items) = tables
     asked = pairs(spark, hot)
-    assert (7 in bucketed.hot_ids(asked, "user_id", 6)) == bool(hot)
+    assert (7 in ops.hot_ids(asked, "user_id", 6)) == bool(hot)
     got = ops.predict_pairs_bucketed(asked, user_name, item_name)
     assert rows(got) == rows(ops.predict_pairs(asked, users, items))
 
