@@ -10,6 +10,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+import zstandard
 from conftest import TESTDATA
 
 from factorframe.llm import (
@@ -277,6 +278,79 @@ def test_every_byte_lies_in_a_chunk(spark):
         assert 0.10 < got[k]["ratio"] < 0.62 and got[k]["n_odd_chunks"] == 1 and not got[k]["kept"]
 
 
+def plain_verdicts(rows, bands):
+    """(whole band and chunk bands hold, odd bytes) of every text, limits learnt in plain Python."""
+    packer = zstandard.ZstdCompressor(level=bands.level)
+
+    def number(size):
+        return sum(size >= least for least, _, _ in bands.limits) - 1
+
+    measured = []
+    for text in rows:
+        data = (text or "").encode()
+        cuts = [data[i : i + 4_000] for i in range(0, len(data), 4_000)]
+        if len(cuts) > 1 and len(cuts[-1]) < 200:
+            cuts[-2:] = [cuts[-2] + cuts[-1]]
+        ratio = lambda x: (number(len(x)), 1000 * len(packer.compress(x)) // len(x), len(x))
+        n, *_, repeated = plain_counts(text)
+        measured.append((n < 50 or 2 * repeated > n, ratio(data) if data else None, [ratio(c) for c in cuts if c]))
+
+    def limits(samples):
+        out = {}
+        for i, (_, least, most) in enumerate(bands.limits):
+            values = sorted(v for k, v, _ in samples if k == i)
+            out[i] = (least, most)
+            if len(values) >= bands.least_texts:
+                low, mid, high = (values[-int(-q * len(values) // 1) - 1] for q in (0.05, 0.5, 0.95))
+                out[i] = (
+                    max(least, min(low - (3 * (mid - low)) // 2, mid - 50)),
+                    min(most, max(high + (3 * (high - mid)) // 2, mid + 50)),
+                )
+        return out
+
+    good = [m for m in measured if not m[0]]
+    whole, chunk = limits([m[1] for m in good]), limits([c for m in good for c in m[2]])
+    odd = lambda band, x: x[0] >= 0 and not band[x[0]][0] <= x[1] <= band[x[0]][1]
+    out = []
+    for failed, all_, cuts in measured:
+        bad = sum(x[2] for x in cuts if odd(chunk, x))
+        out.append((not failed and not odd(whole, all_) and 10 * bad <= sum(x[2] for x in cuts), bad))
+    return out
+
+
+def test_verdicts_as_brute_force_on_the_tables(spark):
+    """Ratios, bands and verdicts computed again; planted repeats, noise and templates go and clean texts stay."""
+    given = spark.read.parquet(str(TESTDATA.with_name("sf0.01") / "documents.parquet")).select("doc_id", "text")
+    rows = [tuple(r) for r in given.collect()]
+    r = np.random.default_rng(3)
+    clean = sorted((t for _, t in rows if t and 12_000 <= len(t) <= 18_000 and plain_counts(t)[4] < 50), key=len)[-1][:12_000]
+    noise = "".join(r.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 4_000))
+    words = [w for w in clean.split() if len(w) > 3]
+    planted = {
+        -1: clean + "the very same sentence again and again. " * 100,
+        -2: clean[:8_000] + " ".join(noise[i : i + 60] for i in range(0, 4_000, 60)),
+        -3: " ".join(f"Dear {w}, order {i} of the {v} was sent." for i, (w, v) in enumerate(zip(words, words[200:300], strict=False))),
+        -4: clean,
+    }
+    rows += planted.items()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = {x["doc_id"]: x for x in quality.quality(docs).collect()}
+    for (doc_id, _), (kept, bad) in zip(rows, plain_verdicts([t for _, t in rows], quality.Bands()), strict=True):
+        assert (got[doc_id]["kept"], got[doc_id]["n_odd_bytes"]) == (kept, bad), doc_id
+    assert [got[i]["base_failed"] for i in planted] == [False] * 4
+    assert [got[i]["kept"] for i in planted] == [False, False, False, True]
+    base = [x for i, x in got.items() if i >= 0 and not x["base_failed"]]
+    assert sum(x["kept"] for x in base) >= 0.98 * len(base)
+
+
+def test_bands_of_copies_and_of_few_texts():
+    bands = quality.Bands()
+    assert bands.learnt(4, {500: 99}) == (160, 750)  # too few
+    assert bands.learnt(4, {500: 10_000}) == (450, 550)  # copies alone
+    assert bands.learnt(4, {400: 10, 450: 40, 500: 100, 550: 40, 600: 10}) == (250, 625)  # 400 - 1.5 * 100, 550 + 1.5 * 50
+    assert bands.learnt(4, {100: 50, 900: 50}) == (160, 750)  # outer limits hold
+
+
 # --- token counts
 
 
