@@ -2,26 +2,31 @@
 
 Candidates are matches of four kinds: the three base kinds (assignments, access keys, long
 hexadecimal runs) and ``opaque``, other unbroken tokens of 20 characters or more that mix letters
-and digits. For every candidate value the corpus is asked how many repositories (documents) and how
-many owners (sources) it occurs in. A value with several owners is a widely copied example; one that a
-single owner has, in few repositories or many, looks live.
+and digits. For every candidate value the corpus is asked how many repositories and how many owners
+it occurs in. An owner is a source. A repository is a distinct text, so copies of one text, under whatever owner, are one.
+
+A value is a widely copied example if both counts say so: at least ``EXAMPLE_OWNERS`` owners and
+``EXAMPLE_REPOSITORIES`` repositories. So a key whose only other occurrence is a copy of its text is still live. A value
+in ``PLACEHOLDER_REPOSITORIES`` repositories or more is an example even with a single owner. All others look live.
 
 Base spans are always reported. The method adds the opaque spans whose values look live, and says of
-every value which it is: n_live and n_example count the spans of a document.
+every value which it is: n_live and n_example count the reported spans of a document.
 
-Values meet by a 128-bit hash, first counted per owner and then over owners, so a value that a third of all
-documents carry is one row per task and owner when it is shuffled.
+Places are running sums over the matches of a document, and opaque spans meet base spans in order of their starts,
+so the time of a text grows with its matches and not with their square. Values meet by a 128-bit hash. Owners and
+repositories are counted apart and before the values are brought together, so a value that a third of all documents
+carry is spread by its repositories.
 
 Defined results: a null or empty text has no spans. A null owner is an owner of its own. Rows that repeat a
-doc_id count once for each value and are reported each; null doc_ids are one repository for each owner. Columns
-other than doc_id, text and source are not read.
+doc_id, null or not, are reported each, and are one repository if their texts are equal. Columns
+other than doc_id, text and source are not read. A text's spans must fit in a task.
 
 All of it is DataFrame expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from factorframe.llm.common import saved, table
 
@@ -33,127 +38,128 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 OPAQUE = r"[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "opaque")
-#: So many owners make a value an example.
+#: So many owners and so many repositories, both, make a value an example.
 EXAMPLE_OWNERS = 2
+EXAMPLE_REPOSITORIES = 3
+#: So many repositories do it whoever owns them.
+PLACEHOLDER_REPOSITORIES = 100
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """start, end (code points) and match of each leftmost match that does not overlap the one before.
+def _marks(kind: int, pattern: str, secret=lambda match: match, wanted=lambda value: F.lit(True)) -> Column:
+    """Leftmost matches that do not overlap the one before, in order, each with the gap before it.
 
-    The parts between matches and the matches themselves, in turn, are the text; their lengths give the places.
+    The parts between matches and the matches themselves, in turn, are the text; their lengths give the places. Matches
+    that are not ``wanted`` are among them, as the places of later ones need them.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    step = F.zip_with(
-        F.slice(between, 1, F.size(found)), found, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("match"))
+    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+    gaps = F.slice(F.split("text", pattern, -1), 1, F.size(found))
+    steps = F.zip_with(gaps, found, lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("length"), secret(m).alias("value")))
+    return F.transform(
+        steps,
+        lambda s, i: F.struct(
+            F.lit(kind).alias("kind"),
+            i.alias("nth"),
+            s["gap"].alias("gap"),
+            s["length"].alias("length"),
+            F.unhex(F.md5(s["value"])).alias("value"),
+            wanted(s["value"]).alias("wanted"),
+        ),
     )
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
 
-    # One pass; the running end is the end of the last element.
-    def add(done: Column, s: Column) -> Column:
-        start = F.when(F.size(done["at"]) > 0, F.element_at(done["at"], -1)).otherwise(0) + s["gap"]
-        return F.struct(
-            F.concat(done["at"], F.array(start + F.length(s["match"]))).alias("at"),
-        )
 
-    ends = F.aggregate(step, F.struct(F.array().cast("array<int>").alias("at")), add)["at"]
-    spans = F.zip_with(
-        found, ends, lambda m, e: F.struct((e - F.length(m)).alias("start"), e.alias("end"), m.alias("match"))
+def scan(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, owner, repository (both hashed), and ``marks``, its matches of all kinds."""
+    group = lambda m: F.regexp_extract(m, ASSIGN, 2)
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("owner"),
+        F.coalesce(F.col("text"), F.lit("")).alias("text"),
+    ).select(
+        F.monotonically_increasing_id().alias("row"),
+        "doc_id",
+        F.unhex(F.md5("owner")).alias("owner"),
+        F.unhex(F.md5("text")).alias("repository"),
+        F.concat(
+            _marks(0, ASSIGN, group, lambda v: F.length(v) >= ASSIGN_LEAST),
+            _marks(1, ACCESS),
+            _marks(2, HEX),
+            _marks(3, OPAQUE, wanted=lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]")),
+        ).alias("marks"),
     )
-    return F.when(F.size(found) > 0, spans).otherwise(none)
 
 
-def _mixed(value: Column) -> Column:
-    return value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-
-
-def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, source and ``spans``: kind (place in KINDS), start, end and value hash of every candidate."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    value = lambda x: F.unhex(F.md5(x))
-
-    def spans(kind: int, found: Column, secret) -> Column:
-        return F.transform(
-            found,
-            lambda x: F.struct(
-                x["start"].alias("start"),
-                F.lit(kind).alias("kind"),
-                x["end"].alias("end"),
-                value(secret(x["match"])).alias("value"),
-            ),
+def candidates(scanned: DataFrame) -> DataFrame:
+    """row, owner, repository, kind, start, end and value of every candidate of a table that ``scan`` gave."""
+    per_kind = Window.partitionBy("row", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    # Both frames run from the first row on: spans that start no later, and spans that start no earlier.
+    before = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy("row").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
+    is_base = F.col("kind") < 3
+    return (
+        scanned.where(F.size("marks") > 0)
+        .select("row", "owner", "repository", F.inline("marks"))
+        .repartition("row")
+        .withColumn("end", F.sum(F.col("gap") + F.col("length")).over(per_kind))
+        .withColumn("start", F.col("end") - F.col("length"))
+        .where("wanted")
+        .withColumn("last_end", F.max(F.when(is_base, F.col("end"))).over(before))
+        .withColumn("next_start", F.min(F.when(is_base, F.col("start"))).over(after))
+        .where(
+            is_base
+            | (
+                F.coalesce(F.col("last_end") <= F.col("start"), F.lit(True))
+                & F.coalesce(F.col("next_start") >= F.col("end"), F.lit(True))
+            )
         )
-
-    group = lambda m: F.regexp_extract(m, ASSIGN, 2)
-    raw = docs.select(
-        "doc_id",
-        "source",
-        _matches(text, ASSIGN).alias("assign"),
-        _matches(text, ACCESS).alias("access"),
-        _matches(text, HEX).alias("hex"),
-        _matches(text, OPAQUE).alias("opaque"),
-    )
-    base = F.concat(
-        spans(0, F.filter("assign", lambda x: F.length(group(x["match"])) >= ASSIGN_LEAST), group),
-        spans(1, F.col("access"), lambda m: m),
-        spans(2, F.col("hex"), lambda m: m),
-    )
-    apart = lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    return raw.select("doc_id", "source", "opaque", base.alias("base")).select(
-        "doc_id",
-        "source",
-        F.sort_array(
-            F.concat("base", spans(3, F.filter("opaque", lambda x: _mixed(x["match"]) & apart(x)), lambda m: m))
-        ).alias("spans"),
+        .select("row", "owner", "repository", "kind", "start", "end", "value")
     )
 
 
 def ownership(found: DataFrame) -> DataFrame:
     """value, owners and repositories of every candidate value."""
-    return (
-        found.select("doc_id", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("owner"), F.explode("spans.value").alias("value"))
-        .groupBy("value", "owner", "doc_id")
-        .agg(F.count("*").alias("times"))
-        .groupBy("value", "owner")
-        .agg(F.count("*").alias("repositories"))
-        .groupBy("value")
-        .agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    return found.groupBy("value").agg(
+        F.count_distinct("owner").alias("owners"), F.count_distinct("repository").alias("repositories")
     )
 
 
-def scan_secrets(docs: DataFrame, *, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame,
+    *,
+    example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
+    placeholder_repositories: int = PLACEHOLDER_REPOSITORIES,
+) -> DataFrame:
     """Per document: counts of the base kinds, base and all spans as text, counts of live and example spans."""
-    found = saved(candidates(docs).withColumn("_row", F.monotonically_increasing_id()), "secrets")
-    counted = ownership(found.where(F.size("spans") > 0))
-    span = F.col("s")
+    scanned = saved(scan(docs), "secrets")
+    found = saved(candidates(scanned), "spans")
+    copied = (F.col("owners") >= example_owners) & (F.col("repositories") >= example_repositories)
+    example = copied | (F.col("repositories") >= placeholder_repositories)
+    of_kind = lambda kind: F.count_if(F.col("kind") == kind)
     judged = (
-        found.where(F.size("spans") > 0)
-        .select("_row", F.explode("spans").alias("s"))
-        .withColumn("value", span["value"])
-        .join(counted, "value")
-        .withColumn("live", F.col("owners") < example_owners)
-        .where((span["kind"] < 3) | F.col("live"))
-        .groupBy("_row")
+        found.join(ownership(found).select("value", example.alias("example")), "value")
+        .where((F.col("kind") < 3) | ~F.col("example"))
+        .groupBy("row")
         .agg(
-            F.sort_array(F.collect_list(F.struct(span["start"].alias("start"), span["kind"].alias("kind"), span["end"].alias("end")))).alias("all"),
-            F.count_if("live").alias("n_live"),
-            F.count_if(~F.col("live")).alias("n_example"),
+            F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"),
+            of_kind(0).alias("n_assign"),
+            of_kind(1).alias("n_access"),
+            of_kind(2).alias("n_hex"),
+            F.count_if(~F.col("example")).alias("n_live"),
+            F.count_if("example").alias("n_example"),
         )
     )
     name = lambda s: F.concat(
         F.element_at(F.array(*[F.lit(k) for k in KINDS]), s["kind"] + 1), F.lit(":"), s["start"], F.lit(":"), s["end"]
     )
-    joined = lambda spans: F.array_join(F.transform(spans, name), ",")
-    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
-    base = joined(F.filter("spans", lambda s: s["kind"] < 3))
-    return found.join(judged, "_row", "left").select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        count(0).alias("n_assign"),
-        count(1).alias("n_access"),
-        count(2).alias("n_hex"),
-        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
-        F.coalesce(joined(F.col("all")), F.lit("")).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).alias("n_live"),
-        F.coalesce("n_example", F.lit(0)).alias("n_example"),
+    joined = lambda spans: F.coalesce(F.array_join(F.transform(spans, name), ","), F.lit(""))
+    count = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    out = scanned.select("row", "doc_id").join(judged, "row", "left")
+    return out.select(
+        "doc_id",
+        *map(count, ("n_assign", "n_access", "n_hex")),
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"] < 3)).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        *map(count, ("n_live", "n_example")),
     )
 
 
@@ -164,41 +170,49 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql_spans(kind: int, pattern: str) -> str:
     quoted = pattern.replace("'", "''")
     return f"""
-    SELECT doc_id, source, {kind} AS kind, m AS found,
+    SELECT doc_id, source, repository, {kind} AS kind, m AS found,
         (list_sum([length(x) FOR x IN gaps[1:i]]) + coalesce(list_sum([length(x) FOR x IN hits[1:i - 1]]), 0))::BIGINT AS start
     FROM (
-        SELECT doc_id, source, regexp_extract_all(text, '{quoted}') AS hits, string_split_regex(text, '{quoted}') AS gaps
+        SELECT doc_id, source, md5(text) AS repository,
+            regexp_extract_all(text, '{quoted}') AS hits, string_split_regex(text, '{quoted}') AS gaps
         FROM documents WHERE regexp_matches(text, '{quoted}')
     ), unnest(range(1, len(hits) + 1)) AS n(i), unnest([hits[i]]) AS h(m)"""
 
 
+# Patterns and bounds are written out here, so that an error in those above shows.
+_SQL_ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?[ ]*[:=][ ]*["']?([A-Za-z0-9+/_.=-]+)"""
+_SQL_PATTERNS = (_SQL_ASSIGN, "AKIA[A-Z0-9]+", "[0-9a-f]{16,}", "[A-Za-z0-9+/_=-]{20,}")
 ORACLE_SQL = f"""
 WITH found AS (
-    {" UNION ALL ".join(_sql_spans(k, p) for k, p in enumerate((ASSIGN, ACCESS, HEX, OPAQUE)))}
+    {" UNION ALL ".join(_sql_spans(k, p) for k, p in enumerate(_SQL_PATTERNS))}
 ), measured AS (
-    SELECT doc_id, source, kind, start, start + length(found) AS stop,
-        CASE kind WHEN 0 THEN regexp_extract(found, '{ASSIGN.replace("'", "''")}', 2) ELSE found END AS value
+    SELECT doc_id, source, repository, kind, start, start + length(found) AS stop,
+        CASE kind WHEN 0 THEN regexp_extract(found, '{_SQL_ASSIGN.replace("'", "''")}', 2) ELSE found END AS value
     FROM found
 ), base AS (
-    SELECT * FROM measured WHERE kind IN (1, 2) OR kind = 0 AND length(value) >= {ASSIGN_LEAST}
+    SELECT * FROM measured WHERE kind = 2 OR kind = 1 AND length(value) >= 18 OR kind = 0 AND length(value) >= 12
 ), opaque AS (
     SELECT m.* FROM measured m
     WHERE m.kind = 3 AND regexp_matches(m.value, '[0-9]') AND regexp_matches(m.value, '[A-Za-z]')
         AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = m.doc_id AND b.start < m.stop AND m.start < b.stop)
 ), spans AS (
     SELECT * FROM base UNION ALL SELECT * FROM opaque
-), owners AS (
-    SELECT value, count(DISTINCT coalesce('=' || source, '')) AS n FROM spans GROUP BY value
+), counted AS (
+    SELECT value, count(DISTINCT coalesce('=' || source, '')) AS owners, count(DISTINCT repository) AS repositories
+    FROM spans GROUP BY value
 ), judged AS (
-    SELECT s.*, o.n < {EXAMPLE_OWNERS} AS live,
+    SELECT s.*, NOT (c.owners >= 2 AND c.repositories >= 3 OR c.repositories >= 100) AS live,
         ['assign', 'access', 'hex', 'opaque'][kind + 1] || ':' || start || ':' || stop AS name
-    FROM spans s JOIN owners o USING (value) WHERE kind < 3 OR o.n < {EXAMPLE_OWNERS}
+    FROM spans s JOIN counted c USING (value)
+), reported AS (
+    SELECT * FROM judged WHERE kind < 3 OR live
 ), listed AS (
     SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
         count(*) FILTER (kind = 2) AS n_hex,
-        string_agg(name, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(name, ',' ORDER BY start, kind) AS spans,
+        string_agg(name, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+        string_agg(name, ',' ORDER BY start, kind) AS spans,
         count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_example
-    FROM judged GROUP BY doc_id
+    FROM reported GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
     sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
