@@ -45,16 +45,19 @@ EXAMPLE_REPOSITORIES = 3
 PLACEHOLDER_REPOSITORIES = 100
 
 
-def _marks(kind: int, pattern: str, secret=lambda match: match, wanted=lambda value: F.lit(True)) -> Column:
-    """Leftmost matches that do not overlap the one before, in order, each with the gap before it.
+_PATTERNS = (ASSIGN, ACCESS, HEX, OPAQUE)
+_MARKS = "array<struct<kind:int,nth:int,gap:int,length:int,value:binary,wanted:boolean>>"
+
+
+def _marks(kind: int, found: Column, secret=lambda match: match, wanted=lambda value: F.lit(True)) -> Column:
+    """The matches ``found`` of a pattern in the text, in order, each with the gap before it.
 
     The parts between matches and the matches themselves, in turn, are the text; their lengths give the places. Matches
-    that are not ``wanted`` are among them, as the places of later ones need them.
+    that are not ``wanted`` are among them, as the places of later ones need them. A text without matches is not split.
     """
-    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split("text", pattern, -1), 1, F.size(found))
+    gaps = F.slice(F.split("text", _PATTERNS[kind], -1), 1, F.size(found))
     steps = F.zip_with(gaps, found, lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("length"), secret(m).alias("value")))
-    return F.transform(
+    marks = F.transform(
         steps,
         lambda s, i: F.struct(
             F.lit(kind).alias("kind"),
@@ -65,25 +68,28 @@ def _marks(kind: int, pattern: str, secret=lambda match: match, wanted=lambda va
             wanted(s["value"]).alias("wanted"),
         ),
     )
+    return F.when(F.size(found) > 0, marks).otherwise(F.array().cast(_MARKS))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, owner, repository (both hashed), and ``marks``, its matches of all kinds."""
     group = lambda m: F.regexp_extract(m, ASSIGN, 2)
-    return docs.select(
+    # The matches are columns of their own: they are used more than once, and each text is searched once a pattern.
+    searched = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("owner"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    ).select(
+    ).select("*", *[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k) for k, p in zip(KINDS, _PATTERNS, strict=True)])
+    return searched.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
         F.unhex(F.md5("owner")).alias("owner"),
         F.unhex(F.md5("text")).alias("repository"),
         F.concat(
-            _marks(0, ASSIGN, group, lambda v: F.length(v) >= ASSIGN_LEAST),
-            _marks(1, ACCESS),
-            _marks(2, HEX),
-            _marks(3, OPAQUE, wanted=lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]")),
+            _marks(0, F.col("assign"), group, lambda v: F.length(v) >= ASSIGN_LEAST),
+            _marks(1, F.col("access")),
+            _marks(2, F.col("hex")),
+            _marks(3, F.col("opaque"), wanted=lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]")),
         ).alias("marks"),
     )
 
