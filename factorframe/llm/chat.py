@@ -11,7 +11,7 @@ state to each are a small matrix, the matrices of a transcript are chained over
 between the states so found. So no task ever holds more lines than a slice, but for lines of one number.
 
 Defined results: a null conv_id makes each of its rows a transcript of its own; a null turn comes after all others, rows of
-the same turn in the order of role and text. A null or empty text is one empty line. A role that is null or none of ROLES is not
+the same turn in the order of a hash of role and text, the same in every run. A null or empty text is one empty line. A role that is null or none of ROLES is not
 learnt from. Without any known role every state is equally likely and all is one ``user`` turn after another by its markers.
 Repeated rows are repeated lines. Columns other than conv_id, turn, role and text are not read.
 """
@@ -282,7 +282,13 @@ def canonical_turns(found: DataFrame) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    """Whether a transcript is kept from learning: a fifth of them, by the crc32 of ``conv``."""
+    return F.crc32(F.col("conv").cast("binary")) % 5 == 0
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, by a model learnt from those that are not held out."""
     lines = saved(transcripts(table(spark, sf_dir, "conversations")), "transcripts")
     # Read twice, for the turns and for their numbers: decoded once.
-    return canonical_turns(saved(find_roles(lines, learn(lines)), "states"))
+    return canonical_turns(saved(find_roles(lines, learn(lines.where(~held_out()))), "states"))

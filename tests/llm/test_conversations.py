@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -55,6 +57,28 @@ def test_roles_are_recovered(spark, lines):
     assert turns["rendered"].str.match(r"<\|(system|user|assistant)\|>\n").all()
 
 
+def test_roles_of_held_out_conversations(spark):
+    """Nothing that is measured was learnt from."""
+    given = spark.read.parquet(str(TESTDATA.with_name("sf0.01") / "conversations.parquet"))
+    lines = saved(chat.transcripts(given), "lines")
+    unseen = lines.where(chat.held_out())
+    turns = chat.canonical_turns(chat.find_roles(unseen, chat.learn(lines.where(~chat.held_out())))).toPandas()
+    truth = given.toPandas()
+    truth = truth[[zlib.crc32(str(c).encode()) % 5 == 0 for c in truth["conv_id"]]]
+    merged = truth.assign(conv_id=truth["conv_id"].astype(str)).merge(turns, on=["conv_id", "turn"], how="left", suffixes=("", "_found"))
+    assert 0.1 * given.count() < len(truth) < 0.3 * given.count() and set(turns["conv_id"]) == set(merged["conv_id"])
+    assert (merged["role"] == merged["role_found"]).mean() > 0.85
+
+
+def test_rows_of_one_turn_keep_one_order(spark):
+    rows = [(1, 0, "user", w) for w in ("alpha", "bravo", "charlie", "delta", "echo", "echo")]
+    found = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        lines = chat.transcripts(spark.createDataFrame(order, "conv_id long, turn long, role string, text string").repartition(3))
+        found.add(tuple(r["line"] for r in lines.orderBy("turn", "tie", "at", "line").collect()))
+    assert len(found) == 1
+
+
 @pytest.mark.parametrize(("first", "apart"), [(0, 1), (1, 1), (5, 100), (1_700_000_000, 64)])
 def test_every_transition_is_learnt(spark, first, apart):
     """Across slices too, and from the least turn whatever the numbers are."""
