@@ -4,6 +4,8 @@ Texts are cut into pieces and pieces into words. Each word occurrence starts exa
 after it, ``longest`` in all, or fewer where the piece ends. These grams are counted in one aggregation, the only one
 over occurrences. Those of full length are the edges of a graph whose nodes are the grams of one word less:
 "a b c" goes from "a b" to "b c" and weighs its count. The shorter ones are the corrections for the ends of pieces.
+All grams of one head, "a b", meet in one task, so their shuffle counts the edges and the nodes alike, and of both only
+what occurs often enough is written.
 
 * Every shorter count is a flow: a gram occurs as often as the edges and the piece ends that begin with it say.
 * A node through which one edge leads in and one out, both as heavy as the node's own flow, is unary. Chains of edges
@@ -23,8 +25,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from factorframe.llm.common import drop_saved, saved, table
@@ -33,12 +38,13 @@ from factorframe.llm.common import drop_saved, saved, table
 MIN_COUNT = 10
 SHARE = 50
 TOP = 2000
-#: Different grams that a task holds before it gives them out.
+#: Different grams that a task holds before it gives them out or adds them up.
 HELD = 400_000
 
 #: A-Z become small, a tab a blank, and what ends a piece a line feed.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
 _GRAMS = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
+_COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("size", pa.int32()), ("n", pa.int64())])
 
 
 def _starts(words: list[bytes], longest: int) -> Iterator[bytes]:
@@ -72,11 +78,85 @@ def _counter(longest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
+def _occurring(docs: DataFrame, longest: int) -> DataFrame:
+    """lang, gram, n of the grams that start somewhere, as each task has counted them."""
+    texts = docs.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
+    return texts.where(F.length("text") > 0).mapInArrow(_counter(longest), "lang string, gram string, n long")
+
+
 def longest_grams(docs: DataFrame, longest: int = 3) -> DataFrame:
     """lang, gram (words joined by blanks), n: grams of ``longest`` words, and the shorter ones that end a piece."""
-    texts = docs.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    counted = texts.where(F.length("text") > 0).mapInArrow(_counter(longest), "lang string, gram string, n long")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return _occurring(docs, longest).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def _summed(rows: pa.Table, keys: list[str]) -> pa.Table:
+    """``keys`` and n, summed."""
+    return rows.group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+
+
+def _heads(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From rows sorted by the place of their head: the edges and the nodes that are frequent, and counts of first words."""
+
+    def sized(rows: pa.Table, gram: pa.ChunkedArray, size: int) -> Iterator[pa.RecordBatch]:
+        sizes = pa.array(np.full(len(rows), size, np.int32))
+        yield from pa.table([rows["lang"], gram, sizes, rows["n"]], schema=_COUNTS).to_batches()
+
+    def of_whole_heads(rows: pa.Table) -> tuple[pa.Table, Iterator[pa.RecordBatch]]:
+        grams = _summed(rows, ["lang", "head", "last"])
+        nodes = _summed(grams, ["lang", "head"])
+        first = pc.list_element(pc.split_pattern(nodes["head"], " ", max_splits=1), 0)
+        edges = grams.filter(pc.and_(pc.greater_equal(grams["n"], least), pc.not_equal(grams["last"], "")))
+        nodes_out = nodes.filter(pc.and_(pc.greater_equal(nodes["n"], least), pc.match_substring(nodes["head"], " ")))
+        words = _summed(pa.table({"lang": nodes["lang"], "gram": first, "n": nodes["n"]}), ["lang", "gram"])
+        whole = pc.binary_join_element_wise(edges["head"], edges["last"], " ")
+        return words, chain(sized(edges, whole, 3), sized(nodes_out, nodes_out["head"], 2))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        words: list[pa.Table] = []
+        n_held, full = 0, HELD
+
+        def count(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            counted, found = of_whole_heads(rows)
+            words.append(counted)
+            yield from found
+            if sum(map(len, words)) > HELD:
+                together = _summed(pa.concat_tables(words), ["lang", "gram"])
+                words[:] = [together]
+                if len(together) > HELD // 2:
+                    yield from sized(together, together["gram"], 1)
+                    words.clear()
+
+        for batch in batches:
+            held.append(pa.Table.from_batches([batch]))
+            n_held += len(batch)
+            if n_held < full:
+                continue
+            rows = pa.concat_tables(held)
+            place = rows["place"].to_numpy()
+            cut = int(np.searchsorted(place, place[-1]))  # the last head may go on in the next batch
+            if cut:
+                yield from count(rows.slice(0, cut))
+            rest = _summed(rows.slice(cut), ["place", "lang", "head", "last"])
+            held, n_held = [rest], len(rest)
+            full = n_held + HELD
+        if n_held:
+            yield from count(pa.concat_tables(held))
+        if words:
+            together = _summed(pa.concat_tables(words), ["lang", "gram"])
+            yield from sized(together, together["gram"], 1)
+
+    return run
+
+
+def frequent(docs: DataFrame, least: int) -> DataFrame:
+    """lang, gram, size, n: all grams of two and three words that occur ``least`` times, and parts of the counts of words."""
+    head = F.substring_index("gram", " ", 2)
+    met = _occurring(docs, 3).repartition("lang", head).select(
+        "lang", head.alias("head"), F.expr("substring(gram, length(substring_index(gram, ' ', 2)) + 2)").alias("last"), "n"
+    )
+    placed = met.withColumn("place", F.xxhash64("lang", "head")).sortWithinPartitions("place")
+    return placed.select("place", "lang", "head", "last", "n").mapInArrow(_heads(least), "lang string, gram string, size int, n long")
 
 
 def _size(gram: str | Column) -> Column:
@@ -168,12 +248,12 @@ def collocations(docs: DataFrame, *, least: int = MIN_COUNT, share: int = SHARE,
 
     ``path`` is the phrase of the compacted path that a phrase of three words lies on.
     """
-    grams = saved(longest_grams(docs, 3), "grams")
-    totals = saved(grams.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
-    pairs = saved(flow(grams, 2, least), "pairs")
-    words = saved(flow(grams, 1, least), "words")
-    edges = compact(graph(grams, pairs, 3, least))
-    drop_saved(grams)
+    counts = saved(frequent(docs, least), "counts")
+    every_word = saved(counts.where("size = 1").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "words")
+    totals = every_word.groupBy("lang").agg(F.sum("n").alias("total"))
+    words = every_word.where(F.col("n") >= least)
+    pairs = counts.where("size = 2").drop("size")
+    edges = compact(graph(counts.where("size = 3").drop("size"), pairs, 3, least))
     chains = saved(paths(edges), "chains")
 
     # Nodes inside a path are in an edge as frequent as they are; the others are held against the ends of paths.

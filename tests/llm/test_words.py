@@ -89,6 +89,26 @@ def test_counts_from_flow_and_ends(spark):
     assert {r["gram"]: r["n"] for r in phrases.flow(grams, 1).collect()} == {"a": 3, "b": 4, "c": 1}
 
 
+@pytest.mark.parametrize("held", (1, 7, 400_000))
+def test_edges_and_nodes_from_one_shuffle(spark, monkeypatch, held):
+    """What ``frequent`` finds is what the flows of all grams give, wherever the batches of a task are cut."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["a", "b", "é", "c.", "d"], k=rng.randint(0, 40))), rng.choice(["en", None])) for i in range(80)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    grams = phrases.longest_grams(docs, 3).cache()
+    triples = grams.where(phrases._size("gram") == 3).where("n >= 4")
+    expected = {(size, r["lang"], r["gram"], r["n"]) for size, df in ((3, triples), (2, phrases.flow(grams, 2, 4)), (1, phrases.flow(grams, 1))) for r in df.collect()}
+    monkeypatch.setattr(phrases, "HELD", held)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        found = phrases.frequent(docs, 4).groupBy("size", "lang", "gram").agg({"n": "sum"}).collect()
+        parts = phrases.frequent(docs, 4).where("size > 1").count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {tuple(r) for r in found} == expected
+    assert parts == sum(size > 1 for size, *_ in expected)  # each edge and node once
+
+
 def test_unary_paths_are_compacted(spark):
     long = " ".join(f"w{i}" for i in range(40))
     docs = spark.createDataFrame([(1, long, "en"), (2, long, "en"), (3, "w10 w11 other", "en")], SCHEMA)
