@@ -3,11 +3,13 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from factorframe import operators as ops
+from factorframe.operators import topk
 from factorframe.operators.topk import default_slices
 from factorframe.sources import factor_shape, factors as factor_tables
 
@@ -249,3 +251,34 @@ def test_given_shapes_save_the_checks(spark, users, items):
     spark.sparkContext.setJobGroup("given-shapes", "")
     ops.predict_pairs(pairs, users, items, **shapes)
     assert not jobs.getJobIdsForGroup("given-shapes")
+
+
+@pytest.mark.parametrize("rank, spread, k", [(8, 0.3, 10), (8, 3.0, 3), (24, 1.0, 10), (3, 0.0, 5)])
+def test_tiles_stop_early_and_lose_nothing(monkeypatch, rank, spread, k):
+    """Queries of many directions, zero and opposite ones too, against every product; most products are not made."""
+    rng = np.random.default_rng(rank + k)
+    mean = rng.normal(size=rank)
+    items = (mean + spread * rng.normal(size=(9000, rank))).astype(np.float32)
+    items[500:520] = items[0]  # equal scores
+    queries = (mean + spread * rng.normal(size=(3000, rank))).astype(np.float32)
+    queries[:7], queries[7:60] = 0.0, -queries[7:60]
+    monkeypatch.setattr(topk, "_FIRST_ITEMS", 256)
+    made = []
+    best_known = topk._best_known
+    monkeypatch.setattr(topk, "_best_known", lambda best, scores: made.append(scores.size) or best_known(best, scores))
+    rows, places = np.repeat(np.arange(0, 3000, 3), 4), rng.integers(0, 9000, 4000)
+    asked = pa.RecordBatch.from_pydict({"query_id": list(range(3000)), "features": list(queries), "k": pa.array([k] * 3000, pa.int32())})
+    found = pa.Table.from_batches(list(topk._rank(asked, np.arange(9000), items, rows, places))).sort_by([("query_id", "ascending"), ("rank", "ascending")])
+    scores = (queries.astype(np.float64) @ items.T.astype(np.float64)).astype(np.float32)
+    scores[rows, places] = -np.inf
+    wanted = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    assert np.allclose(found["score"].to_numpy().reshape(3000, k), np.take_along_axis(scores, wanted, axis=1), rtol=1e-5, atol=1e-6)
+    pairs = set(zip(rows.tolist(), places.tolist()))
+    assert not any((q, i) in pairs for q, i in zip(found["query_id"].to_pylist(), found["item_id"].to_pylist()))
+    if rank == 8:
+        assert sum(made) < 0.7 * scores.size
+
+
+def test_blocks_hold_more_short_vectors():
+    assert topk.default_block_items(factor_tables.FactorShape(10**9, 64)) == 65536
+    assert topk.default_block_items(factor_tables.FactorShape(10**9, 8)) == 8 * 65536
