@@ -246,3 +246,23 @@ def test_latest_factors_follow_new_versions(spark, factors, tmp_path):
 def test_kafka_options_need_the_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         streaming.kafka_messages(spark, "nowhere:1")
+
+
+def test_submitted_jobs_meet_their_messages_by_shuffle(spark):
+    """Both sides have a row per job, however small the parsed one is estimated: neither may go through the driver."""
+    from catalog.queries import QUERIES
+    from conftest import TESTDATA
+
+    found = QUERIES["submit_jobs"](spark, str(TESTDATA))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert found.agg(F.sum("n"), F.sum("n_ids")).first()[0] > 0
+
+
+def test_fields_of_a_job_are_extracted_once(spark, tmp_path):
+    """A filter on the outcome repeats no path of the message."""
+    path = str(tmp_path / "messages")
+    spark.createDataFrame([("a", '{"job_id": "a", "request": {"user_id": 3}}')], "key string, value string").write.parquet(path)
+    jobs = streaming.decode_jobs(spark.read.parquet(path)).where("error is null and request.user_id = 3")
+    plan = jobs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$[0].request.k") <= 4 and jobs.count() == 1
