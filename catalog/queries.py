@@ -475,22 +475,25 @@ def normal_equations(spark, sf_dir):
     )
 
 
+def summed_vectors(rows: DataFrame, weight: Column, rank: int, *by: str) -> DataFrame:
+    """Per group the sum of ``weight`` times ``features``, as the array ``s``: one row per group and task moves, none per dimension."""
+    sums = [F.sum(weight * F.col("features")[i].cast("double")).alias(f"s{i}") for i in range(rank)]
+    return rows.groupBy(*by).agg(*sums).select(*by, F.array(*[f"s{i}" for i in range(rank)]).alias("s"))
+
+
 @query
 def fold_in_residual(spark, sf_dir):
     """Whether each solved vector meets its equations, checked apart from the solver."""
     items = views.factors(spark, sf_dir)
     feedback = views.feedback(spark, sf_dir)
-    solved = ops.fold_in(feedback, items).withColumnRenamed("features", "x")
+    shape = sources.factor_shape(items)
+    solved = ops.fold_in(feedback, items, shape=shape).withColumnRenamed("features", "x")
     used = ops.usable_feedback(feedback, items).join(solved, "query_id")
     error = F.col("n") * dot(F.col("features"), F.col("x")) - F.col("total")
-    terms = used.select("query_id", error.alias("e"), F.posexplode("features").alias("dim", "v"))
-    sums = terms.groupBy("query_id", "dim").agg(F.sum(F.col("e") * F.col("v")).alias("s"))
-    regular = solved.select("query_id", F.posexplode("x").alias("dim", "x"))
-    gap = F.abs(F.col("s") + 0.1 * F.col("x"))
-    return (
-        sums.join(regular, ["query_id", "dim"])
-        .groupBy("query_id")
-        .agg((F.max(gap) < 1e-3).alias("solved"), F.count(F.lit(1)).alias("rank"))
+    sums = summed_vectors(used.select("query_id", error.alias("e"), "features"), F.col("e"), shape.rank, "query_id")
+    gaps = F.zip_with("s", "x", lambda s, x: F.abs(s + 0.1 * x))
+    return sums.join(solved, "query_id").select(
+        "query_id", (F.array_max(gaps) < 1e-3).alias("solved"), F.size("x").cast("long").alias("rank")
     )
 
 
