@@ -501,28 +501,32 @@ def fold_in_residual(spark, sf_dir):
 def fold_in_kinds(spark, sf_dir):
     """Implicit and nonnegative vectors against the conditions they must meet, checked apart from the solver."""
     items, feedback = views.factors(spark, sf_dir), views.feedback(spark, sf_dir)
-    vectors = items.select("id", F.posexplode("features").alias("dim", "v"))
+    shape = sources.factor_shape(items)
+    # All items: the products of their dimensions, rank² numbers.
+    by_dim = items.select("features", F.posexplode("features").alias("dim", "v"))
+    products = summed_vectors(by_dim, F.col("v").cast("double"), shape.rank, "dim")
+    products = products.agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "s"))), lambda r: r["s"]).alias("p"))
     kinds = []
     for implicit, nonnegative in ((True, False), (False, True), (True, True)):
-        x = ops.fold_in(feedback, items, implicit_prefs=implicit, alpha=0.5, nonnegative=nonnegative)
+        x = ops.fold_in(feedback, items, implicit_prefs=implicit, alpha=0.5, nonnegative=nonnegative, shape=shape)
+        x = x.withColumnRenamed("features", "x")
         weighted = ops.weighted_feedback(feedback, implicit_prefs=implicit, alpha=0.5).join(items, "id")
-        used = weighted.join(x.withColumnRenamed("features", "x"), "query_id")
+        used = weighted.join(x, "query_id")
         pull = F.col("weight") * dot(F.col("features"), F.col("x")) - F.col("target")
-        terms = used.select("query_id", pull.alias("pull"), F.posexplode("features").alias("dim", "v"))
-        gradient = terms.groupBy("query_id", "dim").agg(F.sum(F.col("pull") * F.col("v")).alias("g"))
-        x = x.select("query_id", F.posexplode("features").alias("dim", "x"))
-        gradient = gradient.join(x, ["query_id", "dim"]).withColumn("g", F.col("g") + 0.1 * F.col("x"))
-        if implicit:  # all items: the products of their dimensions, times x
-            other = vectors.select("id", F.col("dim").alias("other"), F.col("v").alias("w"))
-            products = vectors.join(other, "id").groupBy("dim", "other").agg(F.sum(F.col("v") * F.col("w")).alias("p"))
-            of_x = x.withColumnsRenamed({"dim": "other", "x": "xo"}).join(products, "other")
-            shared = of_x.groupBy("query_id", "dim").agg(F.sum(F.col("p") * F.col("xo")).alias("s"))
-            gradient = gradient.join(shared, ["query_id", "dim"]).withColumn("g", F.col("g") + F.col("s"))
-        fine = F.abs("g") < 1e-2
+        sums = summed_vectors(used.select("query_id", pull.alias("pull"), "features"), F.col("pull"), shape.rank, "query_id")
+        met = sums.join(x, "query_id").withColumn("g", F.zip_with("s", "x", lambda s, v: s + 0.1 * v))
+        if implicit:
+            met = met.crossJoin(products)  # one row
+            met = met.withColumn("g", F.zip_with("g", F.transform("p", lambda row: dot(row, F.col("x"))), lambda g, s: g + s))
+        ok = F.zip_with("g", "x", lambda g, v: F.abs(g) < 1e-2)
         if nonnegative:
-            fine = (F.col("x") >= 0) & (F.col("g") > -1e-2) & (fine | (F.col("x") == 0))
-        met = gradient.groupBy("query_id").agg(F.every(fine).alias("met"), F.count(F.lit(1)).alias("rank"))
-        kinds.append(met.select("query_id", F.lit(implicit).alias("implicit"), F.lit(nonnegative).alias("nonnegative"), "met", "rank"))
+            ok = F.zip_with("g", "x", lambda g, v: (v >= 0) & (g > -1e-2) & ((F.abs(g) < 1e-2) | (v == 0)))
+        kinds.append(
+            met.select(
+                "query_id", F.lit(implicit).alias("implicit"), F.lit(nonnegative).alias("nonnegative"),
+                F.forall(ok, lambda fine: fine).alias("met"), F.size("x").cast("long").alias("rank"),
+            )
+        )
     return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
 
 

@@ -99,3 +99,15 @@ def test_the_users_of_a_model_fold_in_to_their_own_vectors(spark, implicit, nonn
     assert set(ours) == set(theirs)
     for u in theirs:
         assert np.allclose(ours[u], theirs[u], atol=2e-2 if nonnegative else 1e-3), (u, ours[u], theirs[u])
+
+
+@pytest.mark.parametrize("name, explodes", [("fold_in_residual", 0), ("fold_in_kinds", 2)])
+def test_solutions_are_checked_without_a_row_per_dimension(spark, name, explodes):
+    """Only the items' own products take a row per dimension, once per implicit kind: feedback is summed as it is."""
+    from catalog.queries import QUERIES
+    from conftest import TESTDATA
+
+    found = QUERIES[name](spark, str(TESTDATA))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("posexplode(") <= explodes
+    assert all(r.get("solved", r.get("met")) for r in (x.asDict() for x in found.collect()))
