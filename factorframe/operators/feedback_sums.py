@@ -2,7 +2,8 @@
 
 The equations of a query are sums over its feedback, so what a batch adds can be summed by itself and added to what is stored: the
 upper triangle of v·vᵀ, packed, and the right-hand side. A batch then costs its own feedback, and only its queries are
-solved again. Each batch is a part; when ``fan_in`` parts are there, they are merged into one. A part is written aside and renamed, so
+solved again. Each batch is a part; the one that would be the last of ``fan_in`` is added to the others instead, in the tasks that
+sum it, and all become one part: its own sums are neither written nor moved. A part is written aside and renamed, so
 a batch that is repeated is found to be there or is made as a whole.
 
 The sums belong to the item vectors that they were made with: a new model version needs a new folder.
@@ -41,6 +42,64 @@ def packed_equations(
     return used.mapInArrow(pack, f"query_id {id_type}, {_SUMS_SQL}")
 
 
+def _with_feedback(
+    stored: DataFrame, feedback: DataFrame, items: DataFrame, shape: FactorShape, *, implicit_prefs: bool = False, alpha: float = 1.0
+) -> DataFrame:
+    """``stored`` sums and those of more feedback as one row per query: a query's rows of both kinds meet in one task."""
+    id_type = stored.schema["query_id"].dataType
+    weighted = weighted_feedback(feedback, implicit_prefs=implicit_prefs, alpha=alpha)
+    weighted = weighted.withColumn("query_id", F.col("query_id").cast(id_type))
+    vectors = items.select("id", "features")
+    if not shape.broadcastable:
+        weighted = weighted.join(vectors, "id")
+    rows = weighted.unionByName(stored, allowMissingColumns=True).repartition("query_id")
+    if shape.broadcastable:
+        rows = rows.join(F.broadcast(vectors), "id", "left").where("gram is not null or features is not null")
+    rows = rows.select("query_id", "n", "weight", "target", "features", "gram", "rhs").sortWithinPartitions("query_id")
+    return rows.mapInArrow(_added_to, f"query_id {id_type.simpleString()}, {_SUMS_SQL}")
+
+
+def _added_to(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    id_type, batches = _peek(batches)
+    return _batched(_mixed_totals(batches), [id_type, pa.int64(), _DOUBLES, _DOUBLES], ["query_id", "n", "gram", "rhs"])
+
+
+def _mixed_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The sums of each query over sorted rows, some of them sums and some feedback; only the current query is held."""
+    current = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        encoded = batch.column("query_id").dictionary_encode()
+        codes, names = encoded.indices.to_numpy(), encoded.dictionary.to_pylist()
+        is_sum = batch.column("gram").is_valid().to_numpy(zero_copy_only=False)
+        n, weight, target = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n", "weight", "target"))
+        sums, new = (batch.filter(pa.array(x)) for x in (is_sum, ~is_sum))
+        gram, rhs = (sums.column(c).flatten().to_numpy().reshape(sums.num_rows, -1) if sums.num_rows else None for c in ("gram", "rhs"))
+        vectors = new.column("features").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        vectors = vectors.reshape(new.num_rows, -1) if new.num_rows else None
+        place = np.where(is_sum, np.cumsum(is_sum), np.cumsum(~is_sum)) - 1
+        begins = np.flatnonzero(np.diff(codes, prepend=-1))
+        for begin, end in zip(begins, [*begins[1:], len(codes)]):
+            name, count, g, r = names[codes[begin]], int(n[begin:end].sum()), 0.0, 0.0
+            mine = np.arange(begin, end)
+            for i in place[mine[is_sum[mine]]]:
+                g, r = g + gram[i], r + rhs[i]
+            fed = mine[~is_sum[mine]]
+            if len(fed):
+                v = vectors[place[fed]]
+                g = g + (v.T @ (v * weight[fed, None]))[np.triu_indices(v.shape[1])]
+                r = r + v.T @ target[fed]
+            if current is not None and current[0] == name:
+                current = (name, current[1] + count, current[2] + g, current[3] + r)
+            else:
+                if current is not None:
+                    yield current
+                current = (name, count, g, r)
+    if current is not None:
+        yield current
+
+
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """The sums of each query over rows sorted by query; only the current one is held."""
     current = None
@@ -87,12 +146,13 @@ class FeedbackSums:
         if any(first <= batch_id <= last for first, last in parts):
             return False
         self._shape = self._shape or factor_shape(self.items)
-        self._write(packed_equations(feedback, self.items, **self.kind, shape=self._shape), (batch_id, batch_id))
-        parts = self.parts()
-        if len(parts) >= self.fan_in:
-            self._write(self.sums(), (parts[0][0], parts[-1][1]))
-            for part in parts:
-                storage.delete(self.spark, self._folder(part))
+        if len(parts) + 1 < self.fan_in:
+            self._write(packed_equations(feedback, self.items, **self.kind, shape=self._shape), (batch_id, batch_id))
+            return True
+        merged = _with_feedback(self._stored(parts), feedback, self.items, self._shape, **self.kind)
+        self._write(merged, (min(parts[0][0], batch_id), max(parts[-1][1], batch_id)))
+        for part in parts:
+            storage.delete(self.spark, self._folder(part))
         return True
 
     def _folder(self, part: tuple[int, int]) -> str:
@@ -106,16 +166,18 @@ class FeedbackSums:
         finally:
             storage.delete(self.spark, aside)
 
+    def _stored(self, parts: list[tuple[int, int]]) -> DataFrame:
+        return self.spark.read.parquet(*[self._folder(p) for p in parts]).select("query_id", "n", "gram", "rhs")
+
     def sums(self, users: DataFrame | None = None) -> DataFrame:
         """``query_id, n, gram, rhs`` over all batches, of all queries or of those in ``users``."""
-        folders = [self._folder(p) for p in self.parts()]
-        if not folders:
+        parts = self.parts()
+        if not parts:
             raise FileNotFoundError(f"no feedback has been added to {self.path}")
-        rows = self.spark.read.parquet(*folders)
+        rows = self._stored(parts)
         if users is not None:
             rows = rows.join(users.select("query_id").distinct(), "query_id", "left_semi")
-        rows = rows.select("query_id", "n", "gram", "rhs")
-        if len(folders) == 1:
+        if len(parts) == 1:
             return rows
         id_type = rows.schema["query_id"].dataType.simpleString()
         return rows.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(_added, f"query_id {id_type}, {_SUMS_SQL}")

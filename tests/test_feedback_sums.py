@@ -69,3 +69,20 @@ def test_parts_are_merged_and_read_once(spark, items, tmp_path):
     assert sums.parts() == [(0, 2), (3, 3)] and sorted(map(str, sums.sums().collect())) == before
     with pytest.raises(ValueError):
         ops.FeedbackSums(spark, str(tmp_path), items, fan_in=1)
+
+
+def test_a_batch_that_completes_a_part_is_not_written_by_itself(spark, items, tmp_path, monkeypatch):
+    whole, parts = batches(spark, 3)
+    written = []
+    write = ops.FeedbackSums._write
+    monkeypatch.setattr(ops.FeedbackSums, "_write", lambda self, rows, part: (written.append(part), write(self, rows, part))[1])
+    sums = ops.FeedbackSums(spark, str(tmp_path / "s"), items, fan_in=2)
+    for b, part in enumerate(parts):
+        new = spark.createDataFrame([(f"only{b}", 1, 2.0), (f"unknown{b}", 999, 2.0)], "query_id string, item_id bigint, rating double")
+        sums.add(part.unionByName(new), b)
+    assert written == [(0, 0), (0, 1), (0, 2)] and sums.parts() == [(0, 2)]
+    one = {r["query_id"]: r for r in ops.packed_equations(whole.drop("batch"), items).collect()}
+    many = {r["query_id"]: r for r in sums.sums().collect()}
+    assert set(many) == set(one) | {"only0", "only1", "only2"}
+    for q in one:
+        assert one[q]["n"] == many[q]["n"] and np.allclose(one[q]["gram"], many[q]["gram"]) and np.allclose(one[q]["rhs"], many[q]["rhs"])
