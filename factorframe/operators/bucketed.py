@@ -56,12 +56,20 @@ def _with_vectors(rows: DataFrame, key: str, name: str, out: str, hot: list[int]
     return joined.unionByName(rows.where(is_hot).join(few, wanted == F.col(f"{out}_id"), "left").select(*given, out))
 
 
+def found_rows(rows: DataFrame, key: str, name: str) -> int:
+    """How many rows have a ``key`` that the table knows; only ids and their counts are joined."""
+    sizes = rows.groupBy(F.col(key).cast("long").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.join(rows.sparkSession.table(name).select("id"), "id").agg(F.sum("n")).first()[0] or 0
+
+
 def predict_pairs_bucketed(pairs: DataFrame, users: str, items: str, *, user: str = "user_id", item: str = "item_id") -> DataFrame:
     """As :func:`predict_pairs`, from two tables that :func:`write_bucketed_factors` has stored.
 
-    The pairs are counted by id first, then shuffled once for each table, the second time with one vector.
+    The pairs are counted by id first, then shuffled once for each table, the second time with one vector. The table that fewer
+    pairs are known to comes first, so that only these carry one.
     """
     spark, joined = pairs.sparkSession, pairs
-    for key, name, out in ((user, users, "_u"), (item, items, "_i")):
+    sides = [(user, users, "_u"), (item, items, "_i")]
+    for key, name, out in sorted(sides, key=lambda side: found_rows(pairs, *side[:2])):
         joined = _with_vectors(joined, key, name, out, hot_ids(pairs, key, bucket_count(spark, name)))
     return joined.select(*pairs.columns, F.coalesce(dot(F.col("_u"), F.col("_i")), F.lit(0.0)).alias("prediction"))

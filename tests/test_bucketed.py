@@ -61,3 +61,16 @@ def test_a_table_without_buckets_is_refused(spark, tables, tmp_path):
         bucketed.bucket_count(spark, "test_no_buckets")
     with pytest.raises(ValueError):
         ops.write_bucketed_factors(tables[0][1].limit(0), "test_empty_buckets")
+
+
+def test_the_table_that_fewer_pairs_find_comes_first(spark, conf, tables):
+    """Only pairs that have found a vector carry one through the second shuffle."""
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    conf("spark.sql.adaptive.enabled", "false")
+    (user_name, users), (item_name, items) = tables
+    for few, some in (("_i", [(u, 10 * u) for u in range(300)]), ("_u", [(10 * i, i) for i in range(200)])):
+        asked = spark.createDataFrame(some, "user_id long, item_id long")
+        scored = ops.predict_pairs_bucketed(asked, user_name, item_name)
+        exchanges = [x for x in scored._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hash" in x]
+        assert f"{few}_place" in exchanges[-1]  # the innermost
+        assert rows(scored) == rows(ops.predict_pairs(asked, users, items))
