@@ -5,8 +5,8 @@ lists the files of the month that are live, and one root manifest per commit nam
 writes its new files first, then the manifests of the months it touches, then the root, by one rename: readers see all of
 it or nothing, and a merge that broke off leaves files that no manifest names.
 
-Which files must be rewritten is found by a join of the new rows with the keys of the months they fall into, with the file
-that each key lies in (``_metadata.file_path``): those in which a rating rises. Rows whose key is nowhere become added files;
+Which files must be rewritten is found by one join of the new rows with the keys of the months they fall into, with the file
+that each key lies in (``_metadata.file_path``, hashed): those in which a rating rises. Rows whose key is nowhere become added files;
 rows that change nothing cost no write. So one late row costs one file, however large its month is.
 
 One merge at a time. The driver handles names of months and files.
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.quality import complete_rows, drop_columns, keep_max
+from ..operators.quality import complete_rows, drop_columns, keep_max, with_date_parts
 from ..schema import DATE, ITEM, MONTH, PARTITION_COLS, RATING, RATING_KEY, USER, YEAR
 from . import storage
 from .ratings import write_ratings
@@ -114,8 +114,8 @@ class VersionedRatings:
         storage.delete(self.spark, f"{self._data}/{COMMIT}={commit}")  # of a merge that broke off
         staged_path, matched_path = (storage.sibling(self.path, x) for x in ("staged", "matched"))
         try:
-            rows = complete_rows(drop_columns(new, PARTITION_COLS).select(*_COLUMNS))
-            write_ratings(keep_max(rows), staged_path)
+            rows = keep_max(complete_rows(drop_columns(new, PARTITION_COLS).select(*_COLUMNS)))
+            with_date_parts(rows).write.parquet(staged_path)
             staged = self.spark.read.schema(_without_commit()).parquet(staged_path)
             months = [(r[YEAR], r[MONTH]) for r in staged.select(*PARTITION_COLS).distinct().collect()]
             before = self.files(months=months)
@@ -130,19 +130,23 @@ class VersionedRatings:
         """Files in which a rating rises, and the rows that take their place together with those that are new."""
         if not before:
             return [], staged
-        keys = [*RATING_KEY, *PARTITION_COLS]
-        incoming = staged.withColumnRenamed(RATING, "offered")
-        stored = self._rows(before).select(*keys, RATING, F.col("_metadata.file_path").alias("file"))
-        # No more rows than were staged, so what follows joins small with small or streams the files to be rewritten.
-        stored.join(incoming, keys).select(*keys, RATING, "offered", "file").write.parquet(matched_path)
+        # A month follows from the date of the key. The name of a file moves as a number; two files under one number would
+        # both be rewritten, which changes none of their rows.
+        keys = list(RATING_KEY)
+        name = F.substring_index(F.col("_metadata.file_path"), f"/data/{COMMIT}=", -1)
+        stored = self._rows(before).select(*keys, RATING, F.xxhash64(name).alias("file"))
+        incoming = staged.select(*keys, F.col(RATING).alias("offered"))
+        # As many rows as were staged, those of no file included: they are new. What follows streams the files to be rewritten.
+        incoming.join(stored, keys, "left").write.parquet(matched_path)
         matched = self.spark.read.parquet(matched_path)
         rising = matched.where(F.col("offered") > F.col(RATING))
-        found = {r["file"].rsplit(f"/data/{COMMIT}=", 1)[1] for r in rising.select("file").distinct().collect()}
-        replaced = [f for f in before if f.removeprefix(f"{COMMIT}=") in found]
-        inserted = staged.join(matched, keys, "left_anti")
+        found = {r["file"] for r in rising.select("file").distinct().collect()}
+        named = self.spark.createDataFrame([(f, f.removeprefix(f"{COMMIT}=")) for f in before], "path string, name string")
+        replaced = sorted(r["path"] for r in named.select("path", F.xxhash64("name").alias("file")).collect() if r["file"] in found)
+        inserted = matched.where(F.col("file").isNull()).select(*keys, F.col("offered").alias(RATING))
         offers = rising.select(*keys, "offered")
-        rewritten = self._rows(replaced).join(offers, keys, "left")
-        risen = rewritten.select(*_COLUMNS[:-1], F.greatest(RATING, "offered").alias(RATING), *PARTITION_COLS)
+        rewritten = self._rows(replaced).select(*_COLUMNS).join(offers, keys, "left")
+        risen = rewritten.select(*_COLUMNS[:-1], F.greatest(RATING, "offered").alias(RATING))
         return replaced, risen.unionByName(inserted.select(risen.columns))
 
     def _commit(self, commit: int, months: list[Month], replaced: set[str]) -> MergeCounts:

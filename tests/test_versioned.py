@@ -133,3 +133,22 @@ def test_empty_tables_and_merges(spark, table, make_ratings):
     assert table.read().columns == ["MOVIE_ID", "CUST_ID", "DATE", "RATING", "year", "month"]
     table.merge(make_ratings([(1, 1, 3, "2004-01-01")]))
     assert table.merge(none).untouched == 0 and table.read().count() == 1
+
+
+def test_changes_take_one_join_and_no_file_names(spark, table, make_ratings, monkeypatch):
+    """The rows that are new come from the join that finds the risen ones; names of files move as numbers."""
+    table.merge(make_ratings([(1, u, 3, "2000-01-02") for u in range(20)]))
+    seen = []
+    changes = type(table)._changes
+
+    def spied(self, staged, before, matched_path):
+        replaced, changed = changes(self, staged, before, matched_path)
+        seen.append((spark.read.parquet(matched_path).schema["file"].dataType.simpleString(), changed._jdf.queryExecution().optimizedPlan().toString()))
+        return replaced, changed
+
+    monkeypatch.setattr(type(table), "_changes", spied)
+    counts = table.merge(make_ratings([(1, 3, 5, "2000-01-02"), (1, 4, 1, "2000-01-02"), (2, 3, 4, "2000-01-03")]))
+    assert (counts.replaced, table.read().count()) == (1, 21)
+    (kind, plan), = seen
+    assert kind == "bigint" and "LeftAnti" not in plan
+    assert table.read().agg({"RATING": "sum"}).first()[0] == 20 * 3 + 2 + 4
