@@ -282,3 +282,26 @@ def test_tiles_stop_early_and_lose_nothing(monkeypatch, rank, spread, k):
 def test_blocks_hold_more_short_vectors():
     assert topk.default_block_items(factor_tables.FactorShape(10**9, 64)) == 65536
     assert topk.default_block_items(factor_tables.FactorShape(10**9, 8)) == 8 * 65536
+
+
+def test_vectors_are_solved_once_for_a_batch_of_requests(spark):
+    """How many tiles there are is told from the requests, not from a count that solves their vectors."""
+    solved = spark.sparkContext.accumulator(0)
+    from factorframe.operators import foldin
+
+    solutions = foldin._solutions
+
+    def counted(*args):
+        solved.add(1)
+        return solutions(*args)
+
+    items = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(6)], "id long, features array<float>")
+    kind = "query_id long, user_id long, feedback array<struct<item_id:long,rating:double>>, k int, exclude_item_ids array<long>"
+    requests = spark.createDataFrame([(1, None, [(2, 3.0)], 2, []), (2, 3, [], 1, [])], kind).coalesce(1)
+    foldin._solutions = counted
+    try:
+        found = ops.recommend_requests(requests, items, items)
+        before = solved.value
+        assert found.count() == 3 and before == 0 and solved.value > 0
+    finally:
+        foldin._solutions = solutions
