@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from datetime import date
 from pathlib import Path
@@ -111,6 +112,19 @@ def test_upsert_of_a_stored_dataset_needs_no_staging(spark, make_ratings, tmp_pa
     assert {str(Path(f).parent) for f in kept} == {"year=2006/month=1"}
 
 
+def test_upsert_onto_a_dataset_deduplicates_once(make_ratings, tmp_path, monkeypatch):
+    """What is staged goes through the merge anyway: no aggregation and shuffle of its own."""
+    path = str(tmp_path / "r")
+    sources.upsert_ratings(make_ratings([(1, 1, 2, "2005-01-01")]), path)
+    module, calls = sys.modules[sources.upsert_ratings.__module__], []
+    keep_max = module.keep_max
+    monkeypatch.setattr(module, "keep_max", lambda *a: calls.append(a) or keep_max(*a))
+    later = make_ratings([(1, 1, 3, "2005-01-01"), (1, 1, 4, "2005-01-01"), (2, 1, None, "2005-02-01"), (2, 1, 1, "2005-02-01")])
+    merged = sources.upsert_ratings(later, path)
+    assert len(calls) == 1
+    assert rows(merged, *KEY) == Counter([(1, 1, 4, date(2005, 1, 1)), (2, 1, 1, date(2005, 2, 1))])
+
+
 def test_upsert_of_nothing(make_ratings, tmp_path):
     path = str(tmp_path / "r")
     empty = make_ratings([(1, 1, None, "2005-01-01")])
