@@ -11,6 +11,7 @@ from .metrics import (
     regression_metrics,
 )
 from .month_summaries import MonthSummaries, drift_from_summaries, month_summaries
+from .nested import recommend_nested
 from .nnls import nonnegative_solutions
 from .norm_index import NormIndex
 from .quality import (
