@@ -305,3 +305,31 @@ def test_vectors_are_solved_once_for_a_batch_of_requests(spark):
         assert found.count() == 3 and before == 0 and solved.value > 0
     finally:
         foldin._solutions = solutions
+
+
+def test_a_user_meets_the_items_once(spark, users, items, monkeypatch):
+    """Many requests of a user share a list, whatever they ask for and leave out; one that leaves out much does not."""
+    from factorframe.operators import scoring
+
+    kind = "query_id string, user_id long, feedback array<struct<item_id:long,rating:double>>, k int, exclude_item_ids array<long>"
+    rows = [(f"q{i}", i % 3, [], i % 7, [j * 3 for j in range(i % 5)] + [None] * (i % 2)) for i in range(60)]
+    rows += [("much", 1, [], 4, list(range(70))), ("all", 2, [], 2, list(range(200))), ("unknown", 10**6, [], 3, None)]
+    rows += [("new", None, [(4, 2.0)], 3, [4]), ("none", 2, [], None, None)]
+    requests = spark.createDataFrame(rows, kind)
+    met, top_lists = [], scoring.top_lists
+    monkeypatch.setattr(scoring, "top_lists", lambda queries, *a, **o: met.append(queries) or top_lists(queries, *a, **o))
+    for hot in ((), (2,)):
+        met.clear()
+        lists = scoring.request_lists(requests, users, items, unique=True, hot_users=hot)
+        assert sorted(q.where("features is not null").count() for q in met) == [3, 3]
+        assert found(scoring.list_rows(lists)) == found(ops.recommend_requests(requests, users, items, hot_users=hot))
+
+
+def test_lists_of_blocks_become_one(spark, users, items):
+    """Few wide blocks by default; with several, a list per query and block is all that is shuffled."""
+    assert topk.wide_block_items(factor_tables.FactorShape(10**9, 64)) == 4 * 65536
+    queries = users.withColumnRenamed("id", "query_id")
+    whole = {r["query_id"]: r for r in topk.top_lists(queries, items, 7).collect()}
+    parts = topk.top_lists(queries, items, 7, block_items=9)
+    assert {r["query_id"]: r for r in parts.collect()} == whole and len(whole) == 40
+    assert all(len(r["item_ids"]) == len(r["scores"]) == 7 for r in whole.values())
