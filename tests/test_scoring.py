@@ -328,6 +328,9 @@ def test_a_user_meets_the_items_once(spark, users, items, monkeypatch):
 def test_lists_of_blocks_become_one(spark, users, items):
     """Few wide blocks by default; with several, a list per query and block is all that is shuffled."""
     assert topk.wide_block_items(factor_tables.FactorShape(10**9, 64)) == 4 * 65536
+    # Short queries fill a tile no more than long ones do, so that items are copied to fewer.
+    short = factor_tables.FactorShape(10**9, 8)
+    assert default_slices(spark, short, queries=10**9) == 250
     queries = users.withColumnRenamed("id", "query_id")
     whole = {r["query_id"]: r for r in topk.top_lists(queries, items, 7).collect()}
     parts = topk.top_lists(queries, items, 7, block_items=9)
