@@ -151,3 +151,14 @@ def test_stream_of_arrivals_equals_batch(spark, tmp_path):
     for one, other in zip(plans.split_paths(batch), plans.split_paths(stream)):
         got = [sorted(map(str, sources.read_ratings(spark, p).collect())) for p in (one, other)]
         assert got[0] == got[1] and got[0]
+
+
+def test_held_out_ratings_are_read_as_they_are_stored(spark):
+    """Queries read them several times: no job but the first joins and cleans all ratings."""
+    from catalog import queries, views
+
+    model, test = queries.fitted(spark, "/root/testdata/sf0.001")
+    plan = test._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    _, wanted = ops.split_by_key(ops.keep_max(views.ratings(spark, "/root/testdata/sf0.001")))
+    assert test.exceptAll(wanted.select(test.columns)).isEmpty() and test.count() == wanted.count()
